@@ -60,40 +60,52 @@ def exclude_ids(df: DataFrame, cfg: IngestConfig = DEFAULT) -> DataFrame:
     return df.filter(~F.col("iid").isin(*cfg.excluded_iids))
 
 
-def dedupe_issues(df: DataFrame) -> DataFrame:
+def dedupe_issues(df: DataFrame, by: str | None = None) -> DataFrame:
     """One row per title and description, the earliest one; null equals null.
 
     The hash comes first in the key, so sorting compares numbers and looks at the long
     texts only on equal hashes. Rank 1 plans as a group limit before the shuffle: each
-    task passes on one row per key, however many copies the key has.
+    task passes on one row per key, however many copies the key has. ``by`` names a
+    column that already holds the key.
     """
-    key = F.xxhash64("title", "description")
-    order = W.partitionBy("_key", "title", "description").orderBy("created_at", "iid")
+    key = [by] if by else ["_hash", "title", "description"]
+    order = W.partitionBy(*key).orderBy("created_at", "iid")
     return (
-        df.withColumn("_key", key)
+        df.withColumn("_hash", F.xxhash64("title", "description"))
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") == 1)
-        .drop("_key", "_rank")
+        .drop("_hash", "_rank")
     )
 
 
 def content_key() -> Column:
-    """Short exact-in-practice key of title and description; tells null from text."""
+    """SHA-256 of title and description; tells null from text."""
     return F.sha2(
         F.to_json(F.struct("title", "description"), {"ignoreNullFields": "false"}), 256
     )
 
 
-def drop_known(df: DataFrame, known: DataFrame) -> DataFrame:
-    """Rows whose title and description are not in ``known(content_key)``."""
-    keyed = df.withColumn("content_key", content_key())
-    return keyed.join(known.select("content_key"), "content_key", "left_anti").drop("content_key")
+def dedupe_against(df: DataFrame, known: DataFrame) -> DataFrame:
+    """One row per title and description, without those in ``known(content_key)``.
+
+    Both steps use the same key, so the rows are shuffled once.
+    """
+    unique = dedupe_issues(df.withColumn("content_key", content_key()), "content_key")
+    new = unique.join(known.select("content_key"), "content_key", "left_anti")
+    return new.drop("content_key")
 
 
-def clean_issues(df: DataFrame, cfg: IngestConfig = DEFAULT) -> DataFrame:
-    """Flatten, type, exclude, de-duplicate and project raw records."""
-    typed = df.transform(flatten_author).transform(parse_timestamps)
-    return dedupe_issues(exclude_ids(typed, cfg)).select(*cfg.clean_columns)
+def clean_issues(
+    df: DataFrame, cfg: IngestConfig = DEFAULT, known: DataFrame | None = None
+) -> DataFrame:
+    """Flatten, type, exclude, de-duplicate and project raw records.
+
+    De-duplication covers the given rows, and the earlier ones where their content keys
+    are given as ``known``.
+    """
+    typed = exclude_ids(df.transform(flatten_author).transform(parse_timestamps), cfg)
+    unique = dedupe_issues(typed) if known is None else dedupe_against(typed, known)
+    return unique.select(*cfg.clean_columns)
 
 
 def clean_description(df: DataFrame, cfg: IngestConfig = DEFAULT) -> DataFrame:

@@ -1,7 +1,7 @@
 """Enrichment by rules: sentiment, topic labels and organisation of an issue.
 
 Each enricher reads one row and adds one column, so as a rule none of them shuffles.
-Only term tables too long for a regular expression go through a join on tokens.
+Only term tables too long for a lookup in the row go through a join on tokens.
 """
 
 from __future__ import annotations
@@ -21,6 +21,10 @@ from echolot.functions.text import strip
 _HITS = "_term_hits"
 _TEXT_KEY = "_text_key"
 
+# Term tables up to this size are sent to every executor.
+BROADCAST_TERM_ROWS = 2_000_000
+BROADCAST_TERM_BYTES = 64 * 1024 * 1024
+
 # A capitalised name followed by a legal form.
 ORGANISATION_PATTERN = r"([A-ZÄÖÜ][A-Za-zäöüÄÖÜß-]+ (GmbH|AG|SE|e[.]V[.]))"
 
@@ -38,46 +42,76 @@ def _clip(score: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score))
 
 
-def _count_of(hits: Column, words: Sequence[str]) -> Column:
-    return F.size(F.filter(hits, lambda hit: hit.isin(list(words))))
+def _literal_map(values: Mapping[str, Column]) -> Column:
+    return F.create_map(*(part for word in sorted(values) for part in (F.lit(word), values[word])))
+
+
+# Both readings of the hits mention them once. Catalyst may copy an expression into a
+# filter below, and every mention would search the text again there.
 
 
 def _sentiment_of(text: Column, hits: Column, lexicon: Mapping[str, int]) -> Column:
-    by_weight = defaultdict(list)
-    for word, weight in lexicon.items():
-        by_weight[weight].append(word)
-    weighted = [_count_of(hits, words) * weight for weight, words in sorted(by_weight.items())]
-    counts = [_count_of(hits, words) for _, words in sorted(by_weight.items())]
-    total, matched = reduce(add, weighted, F.lit(0)), reduce(add, counts, F.lit(0))
-    score = F.when(matched == 0, F.lit(0.0)).otherwise(_clip(total / matched))
-    return F.when(text.isNotNull(), score)
+    if not lexicon:
+        return F.when(text.isNotNull(), F.lit(0.0))
+    weight_of = _literal_map({word: F.lit(weight) for word, weight in lexicon.items()})
+    weights = F.array_compact(F.transform(hits, lambda hit: F.try_element_at(weight_of, hit)))
+    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(
+        weights,
+        zero,
+        lambda sums, weight: F.struct(
+            (sums["total"] + weight).alias("total"), (sums["n"] + 1).alias("n")
+        ),
+        lambda sums: F.when(sums["n"] == 0, F.lit(0.0)).otherwise(
+            _clip(sums["total"] / sums["n"])
+        ),
+    )
 
 
 def _labels_of(hits: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    by_label = defaultdict(set)
+    by_word = defaultdict(set)
     for label, word in rules:
-        by_label[label].add(word)
-    found = [
-        F.when(F.arrays_overlap(hits, F.array(*map(F.lit, sorted(words)))), F.lit(label))
-        for label, words in sorted(by_label.items())
-    ]
-    return F.array_compact(F.array(*found).cast("array<string>"))
+        by_word[word].add(label)
+    none = F.array().cast("array<string>")
+    if not by_word:
+        return none
+    labels_of = _literal_map(
+        {word: F.array(*map(F.lit, sorted(labels))) for word, labels in by_word.items()}
+    )
+    known = F.filter(F.array_distinct(hits), lambda hit: hit.isin(list(by_word)))
+    found = F.flatten(F.transform(known, lambda hit: F.element_at(labels_of, hit)))
+    return F.coalesce(F.array_sort(F.array_distinct(found)), none)
 
 
 def _with_text_key(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn(_TEXT_KEY, F.sha2(F.col(text), 256))
 
 
+def broadcast_if_small(
+    terms: DataFrame,
+    max_rows: int = BROADCAST_TERM_ROWS,
+    max_bytes: int = BROADCAST_TERM_BYTES,
+) -> DataFrame:
+    """Mark a term table for broadcast after measuring it; a larger one stays as it is."""
+    bounded = terms.limit(max_rows + 1)
+    size = bounded.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length("tok")), F.lit(0)).alias("bytes"),
+    ).first()
+    small = size.rows <= max_rows and size.bytes <= max_bytes
+    return F.broadcast(terms) if small else terms
+
+
 def _matched_terms(df: DataFrame, terms: DataFrame, text: str, key: str) -> DataFrame:
     """One row per occurrence of a term: row key, text key and the term's columns.
 
-    Spark broadcasts the terms while their measured size allows it; beyond that it joins
-    by shuffle, and AQE splits the frequent words.
+    A term table of a checked size is broadcast, so the exploded tokens never move. A
+    larger one is joined by shuffle, and AQE splits the frequent words.
     """
     words = _with_text_key(df.select(key, text), text).select(
         key, _TEXT_KEY, F.explode(tokens(F.col(text))).alias("tok")
     )
-    return words.join(terms, "tok")
+    return words.join(broadcast_if_small(terms), "tok")
 
 
 def _join_back(df: DataFrame, values: DataFrame, text: str, key: str) -> DataFrame:

@@ -49,10 +49,11 @@ def scored(
     """
 
     @F.pandas_udf(returns)
-    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         scorer = make_scorer()
-        for columns in batches:
-            rows = list(zip(*(column.tolist() for column in columns), strict=True))
+        for batch in batches:
+            known = batch.astype(object).where(batch.notna(), None)
+            rows = list(known.itertuples(index=False, name=None))
             values: list[Any] = [None] * len(rows)
             wanted = [
                 i for i, row in enumerate(rows) if not (skip_null and any(v is None for v in row))
@@ -66,4 +67,4 @@ def scored(
                     time.sleep(pause_s)
             yield pd.Series(values, dtype=object)
 
-    return run(*inputs)
+    return run(F.struct(*inputs))

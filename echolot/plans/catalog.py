@@ -1,4 +1,9 @@
-"""Registered queries: every operator over the whole issue view of the documents."""
+"""Registered queries: every operator over the whole issue view of the documents.
+
+They meet the data as a real deployment does. The raw records are landed once per
+application and sources, cleaning and enrichment start from there. The ingest processes
+the landed records once, and filters, facets, metrics and quality checks read its table.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +18,11 @@ from echolot.functions.labels import validate_labels as valid_labels
 from echolot.functions.terms import tokens
 from echolot.operators import cleaning, enrichment, facets, metrics, predicates, quality
 from echolot.operators.scoring import scored
+from echolot.plans.dashboard import publish_snapshot, read_snapshot
 from echolot.plans.document_issues import DOCUMENT_CONFIG as CFG
-from echolot.plans.document_issues import raw_issues
+from echolot.plans.document_issues import raw_issues as document_issues
 from echolot.plans.ingest import process_issues, run_batch
+from echolot.schemas import RAW_SCHEMA
 from echolot.session import scratch_path
 from echolot.sources import tables
 from echolot.sources.pages import read_issue_pages, write_issue_pages
@@ -51,6 +58,42 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def _once(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[str], object]
+) -> str:
+    """Path of a table that this application derives once from a data directory."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = scratch_path(spark, name)
+        build(path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def raw_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed raw records. A table in one file becomes one in evenly sized files."""
+
+    def land(path: str) -> None:
+        document_issues(spark, sf_dir).hint("rebalance").write.parquet(path)
+
+    landed = _once(spark, sf_dir, "raw-issues", land)
+    return spark.read.schema(RAW_SCHEMA).parquet(landed)
+
+
+def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table: one ingested partition, published as the current snapshot."""
+
+    def ingest(path: str) -> None:
+        table = scratch_path(spark, "issues")
+        tables.write_partition(process_issues(raw_issues(spark, sf_dir), CFG), table, NEW_DATE)
+        publish_snapshot(spark, table, path)
+
+    return read_snapshot(spark, _once(spark, sf_dir, "snapshot", ingest))
+
+
 def typed_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_issues(spark, sf_dir).transform(cleaning.parse_timestamps)
 
@@ -60,11 +103,6 @@ def prepared_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.prepare_issues(clean, CFG)
 
 
-def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The processed table."""
-    return process_issues(raw_issues(spark, sf_dir), CFG)
-
-
 def text_of(labels: Column | str) -> Column:
     """A label list as text, to compare lists across engines."""
     return F.array_join(labels, "|")
@@ -276,7 +314,8 @@ def feedback_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def postprocess_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return issues(spark, sf_dir).select(
+    """The whole processing of raw records in one plan."""
+    return process_issues(raw_issues(spark, sf_dir), CFG).select(
         "iid",
         "title",
         "state",

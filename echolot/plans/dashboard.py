@@ -14,7 +14,7 @@ from echolot.operators.metrics import (
 )
 from echolot.operators.predicates import filtered_issues
 from echolot.schemas import issue_schema
-from echolot.sources.tables import latest_per_issue, load_issues
+from echolot.sources.tables import PARTITION_COLUMN, latest_per_issue, load_issues
 
 
 def current_issues(spark: SparkSession, table: str, label_version: int = 1) -> DataFrame:
@@ -22,6 +22,23 @@ def current_issues(spark: SparkSession, table: str, label_version: int = 1) -> D
     return latest_per_issue(load_issues(spark, table, issue_schema(label_version)))
 
 
+def publish_snapshot(
+    spark: SparkSession, table: str, path: str, label_version: int = 1
+) -> DataFrame:
+    """Write the current issues once a day; the dashboard then reads them without a shuffle.
+
+    Filters reach the scan of a snapshot, which they cannot through the choice of the
+    newest version.
+    """
+    current_issues(spark, table, label_version).write.mode("overwrite").parquet(path)
+    return read_snapshot(spark, path, label_version)
+
+
+def read_snapshot(spark: SparkSession, path: str, label_version: int = 1) -> DataFrame:
+    schema = issue_schema(label_version).add(PARTITION_COLUMN, "date")
+    return spark.read.schema(schema).parquet(path)
+
+
 def facets(df: DataFrame, label_column: str = "labels_v1") -> dict[str, DataFrame]:
     return {
         "labels": facet(df, label_column, explode=True, name="label"),

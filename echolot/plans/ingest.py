@@ -13,8 +13,6 @@ from echolot.config import IngestConfig
 from echolot.functions.iso_time import parse_strict
 from echolot.operators.cleaning import (
     clean_issues,
-    content_key,
-    drop_known,
     feedback_round,
     new_issues,
     postprocess_issues,
@@ -24,7 +22,13 @@ from echolot.operators.enrichment import enrich
 from echolot.session import scratch_path
 from echolot.sources.pages import read_issue_pages
 from echolot.sources.run_state import RunState, load_run_state, save_run_state
-from echolot.sources.tables import PARTITION_COLUMN, load_issues, write_partition, write_stage
+from echolot.sources.tables import (
+    PARTITION_COLUMN,
+    known_keys,
+    write_known_keys,
+    write_partition,
+    write_stage,
+)
 
 Enricher = Callable[[DataFrame, IngestConfig], DataFrame]
 
@@ -48,10 +52,7 @@ def process_issues(
     known: DataFrame | None = None,
 ) -> DataFrame:
     """Raw records to rows of the processed table: one shuffle, the de-duplication."""
-    clean = clean_issues(raw, cfg)
-    if known is not None:
-        clean = drop_known(clean, known)
-    prepared = prepare_issues(clean, cfg)
+    prepared = prepare_issues(clean_issues(raw, cfg, known), cfg)
     if prepared_rows is not None:
         prepared = prepared.observe(prepared_rows, F.count(F.lit(1)).alias("n"))
     return feedback_round(postprocess_issues(enricher(prepared, cfg), cfg), cfg)
@@ -72,15 +73,15 @@ def run_batch(
     enricher: Enricher = enrich,
     mode: str = "overwrite",
     parity: bool = False,
-    against_history: bool = False,
+    keys_path: str | None = None,
     one_page_per_file: bool = False,
 ) -> RunSummary:
     """One incremental run.
 
     The new records become a Parquet stage first. JSON is parsed once then, and a lost
     executor repeats its part from the stage. The partition is written before the state,
-    so a run that fails can simply be repeated. ``against_history`` also drops issues
-    whose title and description an earlier processing date already holds.
+    so a run that fails can simply be repeated. With ``keys_path`` issues are also
+    de-duplicated against all earlier processing dates.
     """
     cfg = cfg or IngestConfig()
     state = load_run_state(spark, state_path)
@@ -96,8 +97,8 @@ def run_batch(
         return RunSummary(fetched_rows.get["n"], 0, 0, 0, state)
 
     known = None
-    if against_history:
-        known = known_keys(spark, table, processing_date)
+    if keys_path:
+        known = known_keys(spark, keys_path, PARTITION_COLUMN, processing_date)
     prepared_rows, saved_rows = Observation("prepared"), Observation("saved")
     issues = process_issues(staged, cfg, enricher, prepared_rows, known).observe(
         saved_rows,
@@ -105,15 +106,12 @@ def run_batch(
         F.max(cfg.watermark_column).alias("watermark"),
     )
     write_partition(issues, table, processing_date, mode)
+    if keys_path:
+        partition = f"{table}/{PARTITION_COLUMN}={processing_date.isoformat()}"
+        write_known_keys(spark, partition, keys_path, PARTITION_COLUMN, processing_date)
 
     watermark = (saved_rows if parity else new_rows).get["watermark"]
     saved = saved_rows.get["n"]
     new_state = RunState(watermark, n_new, saved)
     save_run_state(spark, state_path, new_state)
     return RunSummary(fetched_rows.get["n"], n_new, prepared_rows.get["n"], saved, new_state)
-
-
-def known_keys(spark: SparkSession, table: str, before: date) -> DataFrame:
-    """Content keys of earlier processing dates; a repeated run does not see itself."""
-    history = load_issues(spark, table).filter(F.col(PARTITION_COLUMN) < F.lit(before))
-    return history.select(content_key().alias("content_key"))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echolot.config import FIRST_WATERMARK
 from echolot.functions.iso_time import parse_lenient, to_iso
 from echolot.schemas import STATE_SCHEMA
+from echolot.session import path_exists
 
 
 @dataclass(frozen=True)
@@ -55,12 +55,9 @@ def load_run_state(spark: SparkSession, path: str) -> RunState:
     A missing state is the first run; an unreadable one has no watermark, so the next run
     reads everything.
     """
-    try:
-        records = spark.read.schema(STATE_SCHEMA).option("multiLine", "true").json(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return FIRST_RUN
+    records = spark.read.schema(STATE_SCHEMA).option("multiLine", "true").json(path)
     newest = records.orderBy(F.desc_nulls_last("recorded_at")).select(
         parse_lenient(F.col("last_successful_run")).alias("watermark"),
         F.coalesce("last_fetched_issues", F.lit(0)).alias("fetched"),

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from echolot.operators.cleaning import content_key
 from echolot.schemas import ISSUE_SCHEMA
+from echolot.session import path_exists
 
 PARTITION_COLUMN = "processing_date"
 BATCH_COLUMN = "ingest_batch"
@@ -20,12 +21,7 @@ BATCH_COLUMN = "ingest_batch"
 
 def read_existing(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
     """A Parquet table with a known schema, or None where nothing was written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
 
 
 def write_stage(df: DataFrame, path: str) -> DataFrame:
@@ -69,18 +65,14 @@ def load_issues(
     cannot be read are skipped with a warning in the executor log. A missing table gives
     an empty frame.
     """
+    partition = T.StructField(PARTITION_COLUMN, T.DateType())
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
-    try:
-        if schema is None:
-            df = reader.option("mergeSchema", "true").parquet(base)
-        else:
-            partition = T.StructField(PARTITION_COLUMN, T.DateType())
-            df = reader.schema(T.StructType([*schema.fields, partition])).parquet(base)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        columns = [*(schema or ISSUE_SCHEMA).fields, T.StructField(PARTITION_COLUMN, T.DateType())]
-        df = spark.createDataFrame([], T.StructType(columns))
+    if not path_exists(spark, base):
+        df = spark.createDataFrame([], T.StructType([*(schema or ISSUE_SCHEMA).fields, partition]))
+    elif schema is not None:
+        df = reader.schema(T.StructType([*schema.fields, partition])).parquet(base)
+    else:
+        df = reader.option("mergeSchema", "true").parquet(base)
     return df.select(*sorted(df.columns))
 
 
@@ -103,3 +95,22 @@ def latest_per_issue(
     newest = W.partitionBy(key).orderBy(*(F.desc_nulls_last(column) for column in order))
     ranked = df.withColumn("_rank", F.row_number().over(newest))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
+
+
+def known_keys(spark: SparkSession, path: str, column: str, before: date | int) -> DataFrame | None:
+    """Content keys of earlier runs. A repeated run does not see its own keys."""
+    kind = "date" if isinstance(before, date) else "long"
+    keys = read_existing(spark, path, f"content_key string, {column} {kind}")
+    return keys.filter(F.col(column) < F.lit(before)) if keys is not None else None
+
+
+def write_known_keys(
+    spark: SparkSession, partition: str, path: str, column: str, run: date | int
+) -> None:
+    """Remember the content keys of a partition just written, in a partition of their own."""
+    written = read_existing(spark, partition, "title string, description string")
+    if written is None:
+        return
+    keys = written.select(content_key().alias("content_key"), F.lit(run).alias(column))
+    writer = keys.write.partitionBy(column).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)

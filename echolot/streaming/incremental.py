@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from echolot.config import IngestConfig
 from echolot.functions.iso_time import parse_strict
-from echolot.operators.cleaning import content_key, new_issues
+from echolot.operators.cleaning import new_issues
 from echolot.operators.enrichment import enrich
 from echolot.plans.ingest import Enricher, process_issues
 from echolot.schemas import RAW_SCHEMA
@@ -18,28 +18,12 @@ from echolot.sources.pages import page_options
 from echolot.sources.tables import (
     BATCH_COLUMN,
     PARTITION_COLUMN,
-    read_existing,
+    known_keys,
+    write_known_keys,
     write_partition,
 )
 
 
-def _keys_before(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
-    """Content keys of earlier batches, so a repeated batch does not see itself."""
-    keys = read_existing(spark, path, f"content_key string, {BATCH_COLUMN} long")
-    return keys.filter(F.col(BATCH_COLUMN) < batch) if keys is not None else None
-
-
-def _write_keys(spark: SparkSession, table: str, keys_path: str, day: date, batch: int) -> None:
-    """Remember the content keys of the batch just written, in a partition of their own."""
-    partition = f"{table}/{PARTITION_COLUMN}={day.isoformat()}/{BATCH_COLUMN}={batch}"
-    written = read_existing(spark, partition, "title string, description string")
-    if written is None:
-        return
-    keys = written.select(content_key().alias("content_key"), F.lit(batch).alias(BATCH_COLUMN))
-    writer = keys.write.partitionBy(BATCH_COLUMN).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(keys_path)
-
-
 def run_stream(
     spark: SparkSession,
     landing: str,
@@ -66,11 +50,13 @@ def run_stream(
         session = batch.sparkSession
         parsed = batch.withColumn("_watermark", parse_strict(F.col(cfg.watermark_column)))
         new = new_issues(parsed, watermark, "_watermark").drop("_watermark")
-        known = _keys_before(session, keys_path, batch_id) if keys_path else None
+        known = known_keys(session, keys_path, BATCH_COLUMN, batch_id) if keys_path else None
         issues = process_issues(new, cfg, enricher, known=known)
         write_partition(issues, table, processing_date, batch=batch_id)
         if keys_path:
-            _write_keys(session, table, keys_path, processing_date, batch_id)
+            day = f"{PARTITION_COLUMN}={processing_date.isoformat()}"
+            partition = f"{table}/{day}/{BATCH_COLUMN}={batch_id}"
+            write_known_keys(session, partition, keys_path, BATCH_COLUMN, batch_id)
 
     reader = spark.readStream.schema(RAW_SCHEMA).options(**page_options(one_page_per_file))
     if max_files_per_trigger:

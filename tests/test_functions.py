@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from echolot.config import LABEL_VOCABULARY
+from echolot.functions import iso_time, labels, terms, text
+
+
+def test_white_space_is_the_unicode_property():
+    spaces = {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    assert set(text.PYTHON_WHITE_SPACE) == spaces
+    assert set(text.WHITE_SPACE) == spaces - set("\x1c\x1d\x1e\x1f")
+
+
+def test_strip_equals_python_strip(column):
+    rng = random.Random(1)
+    values = [
+        "".join(rng.choice("ab  \t\n\xa0  \x1c") for _ in range(rng.randint(0, 9)))
+        for _ in range(300)
+    ]
+    got = column(values, lambda c: text.strip(c, text.PYTHON_WHITE_SPACE))
+    assert got == [value.strip() for value in values]
+
+
+def test_prefix_and_suffix_come_off_once(column):
+    values = ["/a//", "/a/", "/", "a", "/a/\n", "", None]
+    assert column(values, lambda c: text.drop_suffix(c, "/")) == [
+        "/a/", "/a", "", "a", "/a/\n", "", None,
+    ]
+    values = ["aaXa", "aa", "a", None]
+    assert column(values, lambda c: text.drop_prefix(c, "aa")) == ["Xa", "", "a", None]
+
+
+def test_two_decimals_round_like_python(column):
+    values = [0.125, 0.375, 0.145, 0.285, -0.001, 1.0, -1.0, 0.0, 2 / 3, -0.625]
+    values += [random.Random(2).uniform(-1, 1) for _ in range(200)]
+    assert column(values, text.two_decimals, "double") == [f"{v:.2f}" for v in values]
+
+
+def test_timestamps_keep_microseconds(column):
+    values = [
+        "2026-01-17T09:29:07Z",
+        "2026-01-17T09:29:07.1Z",
+        "2026-01-17T09:29:07.080Z",
+        "2026-01-17T09:29:07.080123Z",
+        "2026-01-17T09:29:07.080123456Z",
+        None,
+    ]
+    moment = datetime(2026, 1, 17, 9, 29, 7)
+    want = [
+        moment,
+        moment.replace(microsecond=100000),
+        moment.replace(microsecond=80000),
+        moment.replace(microsecond=80123),
+        moment.replace(microsecond=80123),
+        None,
+    ]
+    assert column(values, iso_time.parse_strict) == want
+    assert column(values, iso_time.parse_lenient) == want
+
+
+def test_bad_timestamps_fail_strictly_and_vanish_leniently(column):
+    assert column(["bad", "2026-01-17"], iso_time.parse_lenient) == [None, None]
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP|could not be parsed"):
+        column(["bad"], iso_time.parse_strict)
+
+
+def test_iso_text_round_trip(column):
+    values = ["2026-01-17T09:29:07.080000Z"]
+    assert column(values, lambda c: iso_time.to_iso(iso_time.parse_strict(c))) == values
+
+
+def test_validate_labels(column):
+    answers = [
+        "EU, Daten",
+        "eu",
+        "EU,,EU",
+        "Unklar",
+        "EU ",
+        "Low Code,\xa0Open Source\n",
+        ", ".join(LABEL_VOCABULARY[:6]),
+        "",
+        None,
+    ]
+    got = column(answers, lambda c: labels.validate_labels(c, LABEL_VOCABULARY))
+    assert got == [
+        ["EU", "Daten"],
+        [],
+        ["EU", "EU"],
+        [],
+        ["EU"],
+        ["Low Code", "Open Source"],
+        list(LABEL_VOCABULARY[:6]),
+        [],
+        [],
+    ]
+
+
+def test_default_label(column):
+    values = [None, [], ["EU"], ["EU", "EU"]]
+    got = column(values, lambda c: labels.default_label(c, "Unklar"), "array<string>")
+    assert got == [None, ["Unklar"], ["EU"], ["EU", "EU"]]
+
+
+def test_pairs_with_self(column):
+    values = [[], ["a"], ["a", "b", "c"]]
+    got = column(values, labels.pairs_with_self, "array<string>")
+    assert [[tuple(pair) for pair in pairs] for pairs in got] == [
+        [],
+        [("a", "a")],
+        [("a", "a"), ("a", "b"), ("a", "c"), ("b", "b"), ("b", "c"), ("c", "c")],
+    ]
+
+
+def test_label_set_drops_nulls_and_repetitions(column):
+    got = column([["b", "a", None, "b"], [None], None], labels.label_set, "array<string>")
+    assert got == [["a", "b"], [], None]
+
+
+def test_inline_hits_are_whole_tokens(column):
+    values = ["The théorie, the-THE the1the _the_ mathe", "", None]
+    got = column(values, lambda c: terms.inline_hits(c, ["the", "zu"]))
+    assert got == [["the"] * 6, [], None]
+
+
+def test_terms_that_cannot_match_are_refused():
+    for bad in ("The", "open source", "e-mail", ""):
+        with pytest.raises(ValueError, match="single lower-case words"):
+            terms.check_terms([bad])
+
+
+def test_has_all(column):
+    values = [["EU", "Daten"], ["EU"], [], None]
+    got = column(values, lambda c: labels.has_all(c, ["EU", "Daten"]), "array<string>")
+    assert got == [True, False, False, None]
+    assert column(values, lambda c: F.lit(True) & labels.has_all(c, []), "array<string>") == [True] * 4

@@ -1,0 +1,107 @@
+"""Hot keys: a third or more of all rows share one value. Results stay whole."""
+
+from __future__ import annotations
+
+from collections import Counter
+from itertools import combinations
+
+import pytest
+from pyspark.sql import functions as F
+
+from echolot.operators import cleaning, enrichment, metrics, quality
+from echolot.sources.tables import latest_per_issue
+
+N = 30_000
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Every third row has the same title and text, the same number and author."""
+    hot = F.col("id") % 3 == 0
+    return spark.range(N, numPartitions=8).select(
+        F.when(hot, -1).otherwise(F.col("id") % 5000).alias("iid"),
+        F.when(hot, "copy").otherwise(F.concat(F.lit("t"), F.col("id") % 7000)).alias("title"),
+        F.when(hot, F.lit(None).cast("string")).otherwise("same text").alias("description"),
+        F.timestamp_seconds(F.col("id") * 37 % N).cast("timestamp_ntz").alias("created_at"),
+        (F.col("id") * 53 % N).alias("updated_at"),
+        F.col("id").alias("processing_date"),
+        F.when(hot, F.lit(None).cast("long")).otherwise(F.col("id") % 11).alias("author_id"),
+        F.lit(0.5).alias("sentiment"),
+        F.when(hot, F.array(F.lit("EU"), F.lit("Daten"), F.lit("EU")))
+        .otherwise(F.array(F.concat(F.lit("l"), F.col("id") % 4), F.lit("EU")))
+        .alias("labels_v1"),
+    )
+
+
+@pytest.fixture(scope="module")
+def local(rows):
+    return [row.asDict() for row in rows.collect()]
+
+
+def test_dedupe(rows, local):
+    best = {}
+    for row in local:
+        key, rank = (row["title"], row["description"]), (row["created_at"], row["iid"])
+        best[key] = min(best.get(key, rank), rank)
+    got = cleaning.dedupe_issues(rows).collect()
+    assert {(r.title, r.description): (r.created_at, r.iid) for r in got} == best
+    assert len(got) == len(best)
+
+
+def test_dedupe_against_history_with_a_hot_known_key(rows, local):
+    known = rows.filter("iid = -1").select(cleaning.content_key().alias("content_key"))
+    got = cleaning.dedupe_against(rows, known).collect()
+    titles = {row["title"] for row in local if row["iid"] != -1}
+    assert sorted(r.title for r in got) == sorted(titles)
+
+
+def test_latest(rows, local):
+    best = {}
+    for row in local:
+        rank = (row["processing_date"], row["updated_at"])
+        best[row["iid"]] = max(best.get(row["iid"], rank), rank)
+    got = latest_per_issue(rows).collect()
+    assert {r.iid: (r.processing_date, r.updated_at) for r in got} == best
+    assert len(got) == len(best)
+
+
+def test_counts_and_authors(rows, local):
+    got = metrics.count_by(rows, "labels_v1", explode=True, name="label").collect()
+    want = Counter(label for row in local for label in row["labels_v1"])
+    assert {r.label: r.n_issues for r in got} == want
+    overview = metrics.overview_metrics(rows).first()
+    assert (overview.n_issues, overview.n_authors) == (N, len({r["author_id"] for r in local}))
+
+
+def test_label_pairs(rows, local):
+    support, pairs = Counter(), Counter()
+    for row in local:
+        labels = sorted(set(row["labels_v1"]))
+        support.update(labels)
+        pairs.update(combinations(labels, 2))
+    got = quality.label_cooccurrence(rows).collect()
+    assert {(r.label_a, r.label_b): r.n_issues for r in got} == pairs
+    assert {r.label: r.n_issues for r in quality.label_support(rows).collect()} == support
+    assert all(n <= min(support[a], support[b]) for (a, b), n in pairs.items())
+
+
+def test_frequent_word_in_the_shuffled_join(spark, monkeypatch):
+    monkeypatch.setattr(enrichment, "INLINE_TERM_LIMIT", 0)
+    monkeypatch.setattr(
+        enrichment, "broadcast_if_small", lambda terms: terms.hint("merge")
+    )
+    df = spark.range(3000).select(
+        F.col("id").alias("iid"),
+        F.when(F.col("id") % 3 == 0, "the the of").otherwise(F.lit("the")).alias("desc_clean"),
+    )
+    scores = enrichment.add_sentiment_scores(df, {"the": 1, "of": -2})
+    got = Counter(row.sentiment for row in scores.collect())
+    assert got == {0.0: 1000, 1.0: 2000}
+
+
+def test_side_tables_join_a_hot_number(spark, rows):
+    side = spark.createDataFrame([(-1, "A")], "iid long, org string")
+    whole = enrichment.assemble(rows, side)
+    assert whole.count() == N
+    assert whole.filter("org = 'A'").count() == N // 3
+    assert enrichment.pending(rows, side).count() == N - N // 3
