@@ -29,7 +29,8 @@ def new_issues(
     """
     if watermark is None:
         return df
-    later = F.col(column) > F.lit(watermark).cast("timestamp_ntz")
+    # As text, because a datetime literal would pass through the time zone of the session.
+    later = F.col(column) > F.lit(watermark.isoformat(" ")).cast("timestamp_ntz")
     if strict:
         missing = F.raise_error(F.lit(f"issue without {column}")).cast("boolean")
         later = F.when(F.col(column).isNull(), missing).otherwise(later)

@@ -232,3 +232,19 @@ def test_other_label_versions_stand_beside(spark):
     )
     got = postprocess_issues(df, cfg).first()
     assert (got.labels_v1, got.labels_v2, got.form_page) == (["x"], ["Unklar"], "/a")
+
+
+def test_job(spark, site, monkeypatch):
+    import ingest_job
+
+    kept = {key: spark.conf.get(key) for key in ingest_job.cluster_conf(0)}
+    site.land("1", row(20, 1))
+    argv = ["--landing", str(site.landing), "--table", site.table, "--state", site.state]
+    try:
+        assert ingest_job.main([*argv, "--date", "2026-01-17"]) == 0
+        assert site.rows() == [(20, "2026-01-17")]
+        site.land("2", row(21, 2, created_at="yesterday"))
+        assert ingest_job.main(argv) == 1
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
