@@ -32,6 +32,11 @@ ORGANISATION_PATTERN = (
     "([A-ZÄÖÜ][A-Za-zäöüÄÖÜß-]+ (" + "|".join(map(re.escape, LEGAL_FORMS)) + "))"
 )
 
+# The layout of the two prompts, after the instruction.
+LABEL_PROMPT_HEAD = "\n\n\nLabels:\n{labels}\n\nIssue:\n"
+ORG_PROMPT_TITLE = "\n\n\nTitel:\n"
+ORG_PROMPT_TEXT = "\n\nInhalt:\n"
+
 LABEL_INSTRUCTION = (
     "Ordne dem Beitrag die passenden Themen aus der Liste zu, höchstens fünf, durch Komma "
     "getrennt. Passt keines, antworte Unklar."
@@ -211,16 +216,16 @@ def label_prompt(
     text: Column, labels: Sequence[str], instruction: str = LABEL_INSTRUCTION
 ) -> Column:
     """Prompt that asks a text model for the labels of an issue."""
-    head = f"{instruction}\n\n\nLabels:\n{', '.join(labels)}\n\nIssue:\n"
+    head = instruction + LABEL_PROMPT_HEAD.format(labels=", ".join(labels))
     return F.concat(F.lit(head), F.coalesce(text, F.lit("None")), F.lit("\n"))
 
 
 def org_prompt(title: Column, text: Column, instruction: str = ORG_INSTRUCTION) -> Column:
     """Prompt that asks a text model for the organisation behind an issue."""
     return F.concat(
-        F.lit(f"{instruction}\n\n\nTitel:\n"),
+        F.lit(instruction + ORG_PROMPT_TITLE),
         F.coalesce(title, F.lit("None")),
-        F.lit("\n\nInhalt:\n"),
+        F.lit(ORG_PROMPT_TEXT),
         F.coalesce(text, F.lit("None")),
         F.lit("\n"),
     )

@@ -11,10 +11,16 @@ from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import echolot
+
+# The functions of this package travel with the task, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(echolot)
+
 # A scorer takes rows (one tuple of inputs each) and returns one value per row.
 Scorer = Callable[[list[tuple]], Sequence[Any]]
 

@@ -149,7 +149,7 @@ def write_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "issues")
     prepared = cleaning.feedback_round(prepared_issues(spark, sf_dir), CFG)
     columns = ["iid", "form_page", "feedback_round"]
-    rows = prepared.select(*columns)
+    rows = tables.write_stage(prepared.select(*columns), scratch_path(spark, "rounds"))
     tables.write_partition(rows.filter("feedback_round = 1"), base, OLD_DATE)
     tables.write_partition(rows, base, NEW_DATE)
     tables.write_partition(rows.filter("feedback_round = 2"), base, NEW_DATE)
@@ -160,7 +160,8 @@ def _two_partitions(spark: SparkSession, sf_dir: str) -> str:
     """An older partition without the round, and a newer one with closed issues."""
     base = scratch_path(spark, "issues")
     columns = ["iid", "state", "updated_at", "form_page", "feedback_round"]
-    rows = cleaning.feedback_round(prepared_issues(spark, sf_dir), CFG).select(*columns)
+    rounds = cleaning.feedback_round(prepared_issues(spark, sf_dir), CFG).select(*columns)
+    rows = tables.write_stage(rounds, scratch_path(spark, "rounds"))
     tables.write_partition(rows.drop("feedback_round"), base, OLD_DATE)
     tables.write_partition(rows.filter("state = 'closed'"), base, NEW_DATE)
     return base
@@ -633,13 +634,13 @@ def schema_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages land in files, the stream ingests them file by file, pages are counted.
+    """Pages land in files, the stream ingests them in several batches, pages are counted.
 
     Which copy of an issue stays depends on the batch that saw it first; its page does
     not, because it follows from the title.
     """
     landing, table = scratch_path(spark, "pages"), scratch_path(spark, "issues")
-    write_issue_pages(raw_issues(spark, sf_dir).repartition(3, "iid"), landing)
+    write_issue_pages(raw_issues(spark, sf_dir).repartition(8, "iid"), landing)
     stream = run_stream(
         spark,
         landing,
@@ -648,7 +649,7 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         NEW_DATE,
         CFG,
         keys_path=scratch_path(spark, "keys"),
-        max_files_per_trigger=1,
+        max_files_per_trigger=4,
     )
     stream.awaitTermination()
     latest = tables.latest_per_issue(tables.load_issues(spark, table))
