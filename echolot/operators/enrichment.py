@@ -1,14 +1,15 @@
 """Enrichment by rules: sentiment, topic labels and organisation of an issue.
 
 Each enricher reads one row and adds one column, so as a rule none of them shuffles.
-Only term tables too long for a lookup in the row go through a join on tokens.
+Only term tables too long for a lookup in the row go through a join on tokens; that form
+reads its input twice, so give it a stage table.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Hashable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -51,8 +52,16 @@ def _clip(score: Column) -> Column:
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), score))
 
 
-def _literal_map(values: Mapping[str, Column]) -> Column:
-    return F.create_map(*(part for word in sorted(values) for part in (F.lit(word), values[word])))
+def _lookup(hit: Column, groups: Mapping[Hashable, Sequence[str]], literal: Callable) -> Column:
+    """The value whose words include the hit, else null.
+
+    Catalyst looks a word up in a hash set per value, so this grows with the number of
+    different values and not with the number of words.
+    """
+    chain = F
+    for value, words in groups.items():
+        chain = chain.when(hit.isin(list(words)), literal(value))
+    return chain
 
 
 # Both readings of the hits mention them once. Catalyst may copy an expression into a
@@ -62,8 +71,10 @@ def _literal_map(values: Mapping[str, Column]) -> Column:
 def _sentiment_of(text: Column, hits: Column, lexicon: Mapping[str, int]) -> Column:
     if not lexicon:
         return F.when(text.isNotNull(), F.lit(0.0))
-    weight_of = _literal_map({word: F.lit(weight) for word, weight in lexicon.items()})
-    weights = F.array_compact(F.transform(hits, lambda hit: F.try_element_at(weight_of, hit)))
+    words_of = defaultdict(list)
+    for word, weight in lexicon.items():
+        words_of[weight].append(word)
+    weights = F.array_compact(F.transform(hits, lambda hit: _lookup(hit, words_of, F.lit)))
     zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("n"))
     return F.aggregate(
         weights,
@@ -78,18 +89,21 @@ def _sentiment_of(text: Column, hits: Column, lexicon: Mapping[str, int]) -> Col
 
 
 def _labels_of(hits: Column, rules: Sequence[tuple[str, str]]) -> Column:
-    by_word = defaultdict(set)
-    for label, word in rules:
-        by_word[word].add(label)
     none = F.array().cast("array<string>")
-    if not by_word:
+    if not rules:
         return none
-    labels_of = _literal_map(
-        {word: F.array(*map(F.lit, sorted(labels))) for word, labels in by_word.items()}
-    )
-    known = F.filter(F.array_distinct(hits), lambda hit: hit.isin(list(by_word)))
-    found = F.flatten(F.transform(known, lambda hit: F.element_at(labels_of, hit)))
-    return F.coalesce(F.array_sort(F.array_distinct(found)), none)
+    labels_of, words_of = defaultdict(set), defaultdict(list)
+    for label, word in rules:
+        labels_of[word].add(label)
+    for word, labels in labels_of.items():
+        words_of[tuple(sorted(labels))].append(word)
+
+    def literal(labels: tuple[str, ...]) -> Column:
+        return F.array(*map(F.lit, labels))
+
+    found = F.transform(F.array_distinct(hits), lambda hit: _lookup(hit, words_of, literal))
+    labels = F.array_sort(F.array_distinct(F.flatten(F.array_compact(found))))
+    return F.coalesce(labels, none)
 
 
 def _with_text_key(df: DataFrame, text: str) -> DataFrame:
