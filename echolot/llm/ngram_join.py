@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,34 +38,44 @@ from echolot.llm.components import components
 
 SHINGLE = 3
 PERCENT = 90
-SKETCH_BITS = 18
-SKETCH_BLOCK = 4096
-MAX_LEVEL = 4
+SKETCH_BITS = 22
+SKETCH_BLOCK = 65536
+MAX_LEVEL = 8
 VERIFY_COST = 8.0
 PIVOT_ROUNDS = 2
 FILTER_BLOCKS = 256
 FILTER_BITS = 32768
 MEMO = 500_000
+BASE = 0x9E3779B97F4A7C15
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of a text. Words are remembered, up to a bound."""
+    """Sorted distinct shingle hashes of a text, by array operations.
+
+    A word's hash comes from running sums of byte values times powers of an odd base.
+    """
 
     def __init__(self, width: int) -> None:
         self.width = width
-        self.memo: dict[bytes, int] = {}
+        self.values = _mixed(np.arange(1, 257, dtype=np.uint64))
+        self.powers = self.backward = np.empty(0, np.uint64)
+        self.blank = np.zeros(256, np.int8)
+        self.blank[[32, *range(9, 14)]] = 1
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
+        data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+        edges = np.flatnonzero(np.diff(self.blank[data], prepend=1, append=1))
+        start, end = edges[::2], edges[1::2]
+        if not len(start):
             return np.empty(0, np.uint64)
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for word in set(words):
-            if word not in memo:
-                memo[word] = xxhash.xxh3_64_intdigest(word)
-        h = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        if len(data) > len(self.powers):
+            self.powers, self.backward = (
+                np.multiply.accumulate(np.append(np.uint64(1), np.full(2 * len(data), b, np.uint64)))
+                for b in (BASE, pow(BASE, -1, 2**64))
+            )
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
+        h = _mixed((sums[end] - sums[start]) * self.backward[start])
         n = max(1, len(h) - self.width + 1)
         out = np.zeros(n, np.uint64)
         for k in range(min(self.width, len(h))):
@@ -74,7 +84,7 @@ class Shingler:
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(BASE)
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -83,29 +93,33 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, width: int) -> np.ndarray:
-    """Counts of shingles by hash slot over all documents: ``2 ** SKETCH_BITS`` numbers."""
+    """Counts of shingles by hash slot over all documents: ``2 ** SKETCH_BITS`` numbers of 4 bytes."""
+
+    def blocks(total: np.ndarray) -> pd.DataFrame:
+        parts = [zstandard.compress(b.tobytes(), 1) for b in total.reshape(-1, SKETCH_BLOCK)]
+        return pd.DataFrame({"block": range(len(parts)), "counts": parts})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, total = Shingler(width), np.zeros(2**SKETCH_BITS, np.int64)
+        shingles, total = Shingler(width), np.zeros(2**SKETCH_BITS, np.uint32)
         for batch in batches:
             for text in batch["text"]:
                 np.add.at(total, _slots(shingles(text)), 1)
-        blocks = total.reshape(-1, SKETCH_BLOCK)
-        yield pd.DataFrame({"block": range(len(blocks)), "counts": [b.tobytes() for b in blocks]})
+        yield blocks(total)
 
     def add(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SKETCH_BLOCK, np.int64)
         for part in parts:
             for counts in part["counts"]:
-                total += np.frombuffer(counts, np.int64)
+                total += np.frombuffer(zstandard.decompress(counts), np.uint32)
+        total = np.minimum(total, 2**32 - 1).astype(np.uint32)
         yield pd.DataFrame({"block": [key[0]], "counts": [total.tobytes()]})
 
     schema = "block int, counts binary"
     rows = docs.select("text").mapInPandas(count, schema).groupBy("block").applyInPandas(add, schema)
-    total = np.zeros(2**SKETCH_BITS, np.int64)
-    for row in rows.collect():  # 64 rows of fixed size
+    total = np.zeros(2**SKETCH_BITS, np.uint32)
+    for row in rows.collect():  # 2 ** SKETCH_BITS / SKETCH_BLOCK rows of fixed size
         at = row["block"] * SKETCH_BLOCK
-        total[at : at + SKETCH_BLOCK] = np.frombuffer(row["counts"], np.int64)
+        total[at : at + SKETCH_BLOCK] = np.frombuffer(row["counts"], np.uint32)
     return total
 
 
@@ -145,7 +159,7 @@ def prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 if not n:
                     out.append((None, 0, 0, []))
                     continue
-                f = total[_slots(h)]
+                f = total[_slots(h)].astype(np.int64)
                 keep = min(n, n - least_overlap(n, percent) + MAX_LEVEL)
                 order = np.lexsort((h, f))[:keep]
                 level = choose_level(np.maximum(f[order] - noise, 1.0), n, percent)
@@ -180,22 +194,26 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, pe
 
     A bitmap of fixed size tells which texts may be wanted; it saves work and decides nothing.
     """
-    spark = docs.sparkSession
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = staged(nodes.join(ends.distinct(), "node").select("node", "signature", "text_hash"), "wanted")
     block, bit = _bit("text_hash")
     bits = wanted.select(block.alias("block"), bit.alias("bit")).groupBy("block")
-    bitmap = np.zeros((FILTER_BLOCKS, FILTER_BITS // 8), np.uint8)
-    for row in bits.agg(F.bitmap_construct_agg("bit").alias("bits")).collect():  # 1 MB at most
-        bitmap[row["block"]] = np.frombuffer(row["bits"], np.uint8)
-    shared = spark.sparkContext.broadcast(np.unpackbits(bitmap.ravel(), bitorder="little").astype(bool))
+    bitmap = bits.agg(F.bitmap_construct_agg("bit").alias("bits"))  # 1 MB at most
+    hashed = docs.select(F.xxhash64("text").alias("text_hash"), "text")
+    byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hits = (
+        hashed.withColumn("block", block)
+        .withColumn("bit", bit)
+        .join(F.broadcast(bitmap), "block")
+        .where(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 as int))")) != 0)
+        .select("text_hash", "text")
+    )
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, seen = Shingler(width), set()
         for batch in batches:
-            slot = np.mod(batch["text_hash"].to_numpy(), FILTER_BLOCKS * FILTER_BITS)
             rows = []
-            for text, key in zip(batch["text"][shared.value[slot]], batch["text_hash"][shared.value[slot]], strict=True):
+            for key, text in zip(batch["text_hash"], batch["text"], strict=True):
                 if key in seen:
                     continue
                 if len(seen) > MEMO:
@@ -209,9 +227,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, pe
             if rows:
                 yield pd.DataFrame(rows, columns=["signature", "items"])
 
-    found = docs.select(F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
-        sets, "signature binary, items array<long>"
-    )
+    found = hits.mapInPandas(sets, "signature binary, items array<long>")
     items = staged(
         wanted.join(found, "signature").groupBy("node").agg(F.any_value("items").alias("items")), "sets"
     )
