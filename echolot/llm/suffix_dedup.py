@@ -36,7 +36,7 @@ SPAN = LENGTH - GRAM + 1
 SEGMENT = 1 << 19
 FLUSH = 1_500_000
 PARTS = 256
-HOT = 2_000
+HOT = 8_000
 BLOCK_PIECES = 8_000
 LAST_ID = 2**63 - 1
 U = np.uint64
@@ -278,31 +278,39 @@ def covered(found: DataFrame, blocks: int) -> DataFrame:
         codes, unique = pd.factorize(block["piece"])
         doc = block["doc_id"].to_numpy()
         size = np.array([len(p) for p in unique])
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]])
-        data = np.frombuffer(b"".join(unique) + bytes(4 * LENGTH), np.uint8)
-        count = size - LENGTH + 1
-        owner = np.repeat(np.arange(len(unique)), count)
-        offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        starts = begin[owner] + offset
-        group = equal_strings(data, int(size.sum()), starts)
         low = np.full(len(unique), LAST_ID)
         np.minimum.at(low, codes, doc)
-        lowest = np.full(group.max() + 1, LAST_ID)
-        np.minimum.at(lowest, group, low[owner])
+        count = size - LENGTH + 1
+        begins = np.cumsum(count) - count
+        inside = np.zeros(int(count.sum()), bool)
+        # Strings of different anchors differ, so an anchor with a single piece needs no sorting.
+        anchor = np.zeros(len(unique), np.int64)
+        anchor[codes] = block["block"].to_numpy()
+        _, kind, pieces_of = np.unique(anchor, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(pieces_of[kind] > 1)
+        if len(several):
+            begin = np.cumsum(size[several]) - size[several]
+            text = np.frombuffer(b"".join(unique[several]) + bytes(4 * LENGTH), np.uint8)
+            owner = np.repeat(np.arange(len(several)), count[several])
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(count[several]) - count[several], count[several])
+            group = equal_strings(text, int(size[several].sum()), begin[owner] + offset)
+            lowest = np.full(group.max() + 1, LAST_ID)
+            np.minimum.at(lowest, group, low[several][owner])
+            inside[begins[several][owner] + offset] = lowest[group] < low[several][owner]
         # All strings of a piece that an earlier document holds are covered; of its first ones, those
         # that an earlier document holds in another piece.
         whole = doc > low[codes]
         start, tag, hot = block["start"].to_numpy(), block["tag"].to_numpy(), block["hot"].to_numpy()
         out = [pd.DataFrame({"doc_id": doc[whole], "tag": tag[whole], "low": start[whole], "high": start[whole] + count[codes[whole]] - 1})]
-        inside = lowest[group] < low[owner]
-        begins = np.cumsum(count) - count
-        base, mod = U(BASE), np.zeros(len(starts), np.uint64)
-        other = np.zeros(len(starts), np.uint64)
+        mod, other = np.zeros(len(inside), np.uint64), np.zeros(len(inside), np.uint64)
         if hot.any():
-            values = _mix(np.arange(1, 257, dtype=np.uint64) * base)
+            shown = np.flatnonzero(np.bincount(codes, hot, len(unique)))
+            at = np.concatenate([np.arange(begins[k], begins[k] + count[k]) for k in shown])
+            data = np.concatenate([np.lib.stride_tricks.sliding_window_view(np.frombuffer(unique[k], np.uint8), LENGTH) for k in shown])
+            values = _mix(np.arange(1, 257, dtype=np.uint64) * U(BASE))
             for k in range(LENGTH):
-                byte = values[data[starts + k]]
-                mod, other = _mix(mod + byte), other * base + byte
+                byte = values[data[:, k]]
+                mod[at], other[at] = _mix(mod[at] + byte), other[at] * U(BASE) + byte
         rows, open_rows = [], []
         for i in np.flatnonzero(~whole):
             piece = codes[i]

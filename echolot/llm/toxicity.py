@@ -89,14 +89,15 @@ def term_counts(sample: DataFrame) -> DataFrame:
         for batch in batches:
             for text, label in zip(batch["text"], batch["toxic"], strict=True):
                 held[label].update(features(text))
-            if len(held[0]) + len(held[1]) > 400_000:
+            if len(held[0]) + len(held[1]) > 100_000:
                 yield flush(held)
                 held = (Counter(), Counter())
         yield flush(held)
 
     def flush(held: tuple[Counter, Counter]) -> pd.DataFrame:
         terms = list(held[0].keys() | held[1].keys())
-        return pd.DataFrame({"term": terms, "toxic": [held[1][t] for t in terms], "clean": [held[0][t] for t in terms]})
+        # Plain objects: a long column of pandas' own strings may reach Arrow in several chunks.
+        return pd.DataFrame({"term": pd.Series(terms, dtype=object), "toxic": [held[1][t] for t in terms], "clean": [held[0][t] for t in terms]})
 
     parts = sample.mapInPandas(count, "term string, toxic long, clean long")
     return parts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
