@@ -62,7 +62,7 @@ def exclude_ids(df: DataFrame, cfg: IngestConfig = DEFAULT) -> DataFrame:
 
 
 def dedupe_issues(df: DataFrame, by: str | None = None) -> DataFrame:
-    """One row per title and description, the earliest one; null equals null.
+    """One row per title and description, the earliest issue in its newest version; null equals null.
 
     The hash comes first in the key, so sorting compares numbers and looks at the long
     texts only on equal hashes. Rank 1 plans as a group limit before the shuffle: each
@@ -70,7 +70,8 @@ def dedupe_issues(df: DataFrame, by: str | None = None) -> DataFrame:
     column that already holds the key.
     """
     key = [by] if by else ["_hash", "title", "description"]
-    order = W.partitionBy(*key).orderBy("created_at", "iid")
+    newest = [F.desc_nulls_last("updated_at")] if "updated_at" in df.columns else []
+    order = W.partitionBy(*key).orderBy("created_at", "iid", *newest)
     return (
         df.withColumn("_hash", F.xxhash64("title", "description"))
         .withColumn("_rank", F.row_number().over(order))
@@ -87,12 +88,15 @@ def content_key() -> Column:
 
 
 def dedupe_against(df: DataFrame, known: DataFrame) -> DataFrame:
-    """One row per title and description, without those in ``known(content_key)``.
+    """One row per title and description, without those that another issue owns in
+    ``known(content_key, iid)``. A newer version of the owner stays.
 
     Both steps use the same key, so the rows are shuffled once.
     """
     unique = dedupe_issues(df.withColumn("content_key", content_key()), "content_key")
-    new = unique.join(known.select("content_key"), "content_key", "left_anti")
+    owned = known.select(F.col("content_key").alias("_key"), F.col("iid").alias("_owner"))
+    other = F.col("_owner").isNull() | (F.col("_owner") != F.col("iid"))
+    new = unique.join(owned, (F.col("content_key") == F.col("_key")) & other, "left_anti")
     return new.drop("content_key")
 
 

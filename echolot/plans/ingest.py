@@ -25,6 +25,7 @@ from echolot.sources.run_state import RunState, load_run_state, save_run_state
 from echolot.sources.tables import (
     PARTITION_COLUMN,
     known_keys,
+    not_yet_written,
     write_known_keys,
     write_partition,
     write_stage,
@@ -71,7 +72,7 @@ def run_batch(
     processing_date: date,
     cfg: IngestConfig | None = None,
     enricher: Enricher = enrich,
-    mode: str = "overwrite",
+    mode: str | None = None,
     parity: bool = False,
     keys_path: str | None = None,
     one_page_per_file: bool = False,
@@ -80,10 +81,13 @@ def run_batch(
 
     The new records become a Parquet stage first. JSON is parsed once then, and a lost
     executor repeats its part from the stage. The partition is written before the state,
-    so a run that fails can simply be repeated. With ``keys_path`` issues are also
-    de-duplicated against all earlier processing dates.
+    so a run that fails can simply be repeated. A later run of a day adds to the day's partition
+    what it lacks; ``mode="overwrite"``, the default with ``parity``, replaces the partition. With
+    ``keys_path`` issues are also de-duplicated against all earlier runs.
     """
     cfg = cfg or IngestConfig()
+    mode = mode or ("overwrite" if parity else "append")
+    partition = f"{table}/{PARTITION_COLUMN}={processing_date.isoformat()}"
     state = load_run_state(spark, state_path)
     fetched_rows, new_rows = Observation("fetched"), Observation("new")
     raw = read_issue_pages(spark, landing, one_page_per_file)
@@ -98,16 +102,18 @@ def run_batch(
 
     known = None
     if keys_path:
-        known = known_keys(spark, keys_path, PARTITION_COLUMN, processing_date)
+        known = known_keys(spark, keys_path, PARTITION_COLUMN, processing_date, mode == "append")
     prepared_rows, saved_rows = Observation("prepared"), Observation("saved")
-    issues = process_issues(staged, cfg, enricher, prepared_rows, known).observe(
+    issues = process_issues(staged, cfg, enricher, prepared_rows, known)
+    if mode == "append":
+        issues = not_yet_written(issues, partition)
+    issues = issues.observe(
         saved_rows,
         F.count(F.lit(1)).alias("n"),
         F.max(cfg.watermark_column).alias("watermark"),
     )
     write_partition(issues, table, processing_date, mode)
     if keys_path:
-        partition = f"{table}/{PARTITION_COLUMN}={processing_date.isoformat()}"
         write_known_keys(spark, partition, keys_path, PARTITION_COLUMN, processing_date)
 
     watermark = (saved_rows if parity else new_rows).get["watermark"]

@@ -56,14 +56,14 @@ def load_issues(
     spark: SparkSession,
     base: str,
     schema: T.StructType | None = None,
-    skip_corrupt: bool = True,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
     """All partitions of the processed table, columns in sorted order.
 
     Columns that a partition lacks are null there. The columns are those of all
-    partitions; with a given ``schema`` no file footer is read for that. Files that
-    cannot be read are skipped with a warning in the executor log. A missing table gives
-    an empty frame.
+    partitions; with a given ``schema`` no file footer is read for that. A file that
+    cannot be read fails the read; with ``skip_corrupt`` its rows are left out. A missing
+    table gives an empty frame.
     """
     partition = T.StructField(PARTITION_COLUMN, T.DateType())
     reader = spark.read.option("ignoreCorruptFiles", str(skip_corrupt).lower())
@@ -97,20 +97,35 @@ def latest_per_issue(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def known_keys(spark: SparkSession, path: str, column: str, before: date | int) -> DataFrame | None:
-    """Content keys of earlier runs. A repeated run does not see its own keys."""
-    kind = "date" if isinstance(before, date) else "long"
-    keys = read_existing(spark, path, f"content_key string, {column} {kind}")
-    return keys.filter(F.col(column) < F.lit(before)) if keys is not None else None
+def known_keys(
+    spark: SparkSession, path: str, column: str, run: date | int, own: bool = False
+) -> DataFrame | None:
+    """Content keys of other runs with the issues that own them; ``own`` adds this run's keys."""
+    kind = "date" if isinstance(run, date) else "long"
+    keys = read_existing(spark, path, f"content_key string, iid long, {column} {kind}")
+    if keys is None:
+        return None
+    other = F.col(column) < F.lit(run) if kind == "date" else F.col(column) != F.lit(run)
+    return keys.filter(other | (F.col(column) == F.lit(run))) if own else keys.filter(other)
+
+
+def not_yet_written(df: DataFrame, partition: str) -> DataFrame:
+    """The rows whose version of an issue a partition lacks, so that a repeated append adds nothing."""
+    written = read_existing(df.sparkSession, partition, "iid long, updated_at timestamp_ntz")
+    if written is None:
+        return df
+    written = written.select(F.col("iid").alias("_iid"), F.col("updated_at").alias("_updated"))
+    same = F.col("iid").eqNullSafe(F.col("_iid")) & F.col("updated_at").eqNullSafe(F.col("_updated"))
+    return df.join(written, same, "left_anti")
 
 
 def write_known_keys(
     spark: SparkSession, partition: str, path: str, column: str, run: date | int
 ) -> None:
     """Remember the content keys of a partition just written, in a partition of their own."""
-    written = read_existing(spark, partition, "title string, description string")
+    written = read_existing(spark, partition, "iid long, title string, description string")
     if written is None:
         return
-    keys = written.select(content_key().alias("content_key"), F.lit(run).alias(column))
+    keys = written.select(content_key().alias("content_key"), "iid", F.lit(run).alias(column))
     writer = keys.write.partitionBy(column).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import zlib
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,12 @@ from echolot.sources.tables import (
 )
 
 
+def _batch_number(spark: SparkSession, checkpoint: str, number: int) -> int:
+    """A number for a micro-batch that no other checkpoint gives."""
+    query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return zlib.crc32(query.encode()) * 2**31 + number
+
+
 def run_stream(
     spark: SparkSession,
     landing: str,
@@ -41,13 +49,15 @@ def run_stream(
 
     The checkpoint remembers which files were read. Each micro-batch replaces its own
     partition ``(processing_date, ingest_batch)``, so a batch repeated after a failure
-    leaves one result. With ``keys_path`` issues are also de-duplicated against all
+    leaves one result. The batch's number holds the id of the checkpoint's query, so another
+    checkpoint never replaces it. With ``keys_path`` issues are also de-duplicated against all
     earlier batches.
     """
     cfg = cfg or IngestConfig()
 
-    def ingest(batch: DataFrame, batch_id: int) -> None:
+    def ingest(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
+        batch_id = _batch_number(session, checkpoint, number)
         parsed = batch.withColumn("_watermark", parse_strict(F.col(cfg.watermark_column)))
         new = new_issues(parsed, watermark, "_watermark").drop("_watermark")
         known = known_keys(session, keys_path, BATCH_COLUMN, batch_id) if keys_path else None

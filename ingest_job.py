@@ -28,7 +28,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--state", required=True, help="folder of the run state")
     parser.add_argument("--keys", help="content keys, to de-duplicate against earlier runs")
     parser.add_argument("--date", type=date.fromisoformat, help="processing date, UTC today if unset")
-    parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
+    parser.add_argument("--mode", choices=("overwrite", "append"))
     parser.add_argument("--page-files", action="store_true", help="each file is one page")
     parser.add_argument("--input-bytes", type=int, default=0, help="expected size of new pages")
     return parser.parse_args(argv)

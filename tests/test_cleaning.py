@@ -73,7 +73,7 @@ def test_content_key_tells_null_from_text(spark):
 
 def test_dedupe_against_history(spark):
     history = raw(spark, raw_row(10, "a", "x"), raw_row(11, "b", None))
-    known = history.select(cleaning.content_key().alias("content_key"))
+    known = history.select(cleaning.content_key().alias("content_key"), "iid")
     rows = [raw_row(20, "a", "x"), raw_row(21, "b", None), raw_row(22, "c"), raw_row(23, "c")]
     assert ids(cleaning.clean_issues(raw(spark, *rows), known=known)) == [22]
 

@@ -12,7 +12,7 @@ from echolot.operators.enrichment import enrich
 from echolot.plans.dashboard import current_issues, dashboard, facets, publish_snapshot
 from echolot.plans.ingest import run_batch
 from echolot.schemas import ISSUE_SCHEMA
-from echolot.sources.run_state import RunState, load_run_state
+from echolot.sources.run_state import RunState, load_run_state, save_run_state
 from echolot.sources.tables import load_issues
 from echolot.streaming.incremental import run_stream
 
@@ -34,8 +34,9 @@ class Deployment:
         (self.landing / f"{name}.json").write_text(json.dumps(list(rows)), encoding="utf-8")
 
     def run(self, day, **options):
+        cfg = options.pop("cfg", CFG)
         return run_batch(
-            self.spark, str(self.landing), self.table, self.state, day, CFG, **options
+            self.spark, str(self.landing), self.table, self.state, day, cfg, **options
         )
 
     def stream(self, day, **options):
@@ -132,17 +133,45 @@ def test_watermark_in_parity_mode(spark, site):
     assert load_run_state(spark, site.state) == RunState(None, 1, 0)
 
 
-def test_same_day_overwrites_or_appends(site):
+def test_same_day_keeps_earlier_runs_or_overwrites(site):
     site.land("1", row(20, 1))
     site.run(DAY1)
     site.land("2", row(21, 2))
-    site.run(DAY1, mode="append")
+    assert site.run(DAY1).saved == 1
     assert site.ids() == [20, 21]
     site.land("3", row(22, 3))
-    site.run(DAY1)
+    site.run(DAY1, mode="overwrite")
     assert site.ids() == [22]
 
 
+def test_streams_of_two_checkpoints_keep_each_other(site, tmp_path):
+    site.land("1", row(20, 1))
+    site.stream(DAY1)
+    site.landing, site.checkpoint = tmp_path / "other", str(tmp_path / "second")
+    site.landing.mkdir()
+    site.land("1", row(21, 2))
+    site.stream(DAY1)
+    assert site.ids() == [20, 21]
+
+
+def test_repeated_append_adds_nothing(site, spark):
+    site.land("1", row(20, 1), row(21, 2))
+    state = load_run_state(spark, site.state)
+    site.run(DAY1)
+    save_run_state(spark, site.state, state)  # as if the run had ended before it saved its state
+    site.run(DAY1)
+    assert site.ids() == [20, 21]
+
+
+def test_history_keeps_updates_of_the_owner(site):
+    cfg = IngestConfig(watermark_column="updated_at")
+    site.land("1", row(20, 1))
+    site.run(DAY1, cfg=cfg, keys_path=site.keys)
+    site.land("2", {**row(20, 1), "state": "closed", "updated_at": "2026-02-01T00:00:00.000Z"})
+    run = site.run(DAY1, cfg=cfg, keys_path=site.keys)
+    assert (run.new, run.saved) == (1, 1)
+
+
 def test_history_is_optional(site):
     site.land("1", row(20, 1))
     site.run(DAY1, keys_path=site.keys)

@@ -10,6 +10,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from echolot.plans.catalog import QUERIES as CATALOG
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -20,13 +21,13 @@ def duck():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
     assert oracle.compare(spark, duck, name, QUERIES[name], SQL[name], SF) is None
 
 
-def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(SQL)
+def test_every_query_of_the_reference_has_its_sql():
+    assert set(CATALOG) <= set(SQL) <= set(QUERIES)
 
 
 def test_entry_has_rows(spark):

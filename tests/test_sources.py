@@ -67,7 +67,7 @@ def test_rerun_replaces_its_partition_only(spark, tmp_path):
     assert ids(tables.load_issues(spark, base)) == [1, 3, 4]
 
 
-def test_load_fills_missing_columns_and_skips_corrupt_files(spark, tmp_path):
+def test_load_fills_missing_columns_and_skips_corrupt_files_on_demand(spark, tmp_path):
     base = tmp_path / "t"
     old = spark.createDataFrame([(1, "a"), (2, "b")], "iid long, org string")
     new = spark.createDataFrame([(2, "c", 2), (3, "d", 2)],
@@ -78,13 +78,13 @@ def test_load_fills_missing_columns_and_skips_corrupt_files(spark, tmp_path):
     bad.write_bytes(b"this is no parquet file")
     want = [(1, "a", None, OLD), (2, "b", None, OLD), (2, "c", 2, NEW), (3, "d", 2, NEW)]
     for schema in (None, new.schema):
-        df = tables.load_issues(spark, str(base), schema)
+        df = tables.load_issues(spark, str(base), schema, skip_corrupt=True)
         assert df.columns == ["feedback_round", "iid", "org", "processing_date"]
         got = [(r.iid, r.org, r.feedback_round, r.processing_date) for r in df.collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     with pytest.raises(Exception, match="FAILED_READ_FILE|CANNOT_READ"):
-        tables.load_issues(spark, str(base), new.schema, skip_corrupt=False).collect()
-    latest = tables.latest_per_issue(tables.load_issues(spark, str(base)), order=["processing_date"])
+        tables.load_issues(spark, str(base), new.schema).collect()
+    latest = tables.latest_per_issue(tables.load_issues(spark, str(base), skip_corrupt=True), order=["processing_date"])
     assert {r.iid: r.org for r in latest.collect()} == {1: "a", 2: "c", 3: "d"}
     diff = schema_diff(*(spark.read.parquet(f"{base}/processing_date={d}/part*") for d in (OLD, NEW)))
     assert [r.column for r in diff.collect() if not r.in_old] == ["feedback_round"]
