@@ -40,7 +40,7 @@ SHINGLE = 3
 PERCENT = 90
 SKETCH_BITS = 22
 SKETCH_BLOCK = 65536
-MAX_LEVEL = 8
+MAX_LEVEL = 24
 VERIFY_COST = 8.0
 PIVOT_ROUNDS = 2
 FILTER_BLOCKS = 256
@@ -267,22 +267,31 @@ def _pivot_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
 
-def _remaining_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough of their prefixes."""
+def _remaining_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that share enough of their prefixes, each made once.
+
+    A pair is made at the first shingle that its two prefixes share, and only if they share as many
+    as the smaller of their levels asks for.
+    """
     sizes = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
-    lists = staged(lists.join(largest, "token"), "lists")
+    lists = lists.join(nodes.select("node", "prefix"), "node").join(largest, "token")
+    lists = staged(lists, "lists")
     a, b = lists.where("component != main").alias("a"), lists.alias("b")
+    need = F.least("a.level", "b.level")
+    before = [F.slice(f"{x}.prefix", F.lit(1), F.array_position(f"{x}.prefix", F.col("a.token")).cast("int") - 1) for x in "ab"]
+    asked = [F.slice(f"{x}.prefix", F.lit(1), (F.col(f"{x}.base") + need).cast("int")) for x in "ab"]
     meets = (
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.component") != F.col("b.component"))
         & ((F.col("b.component") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
         & _similar_sizes("a.n", "b.n", percent)
-        & (F.greatest("a.layer", "b.layer") <= F.least("a.level", "b.level"))
+        & ~F.arrays_overlap(*before)
+        & (F.size(F.array_intersect(*asked)) >= need)
+    )
+    return a.join(b, meets).select(
+        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
     )
-    pair = [F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")]
-    met = a.join(b, meets).select(*pair, F.least("a.level", "b.level").alias("need"))
-    return met.groupBy("a", "b", "need").agg(F.count(F.lit(1)).alias("k")).where("k >= need").select("a", "b")
 
 
 def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -299,17 +308,15 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     nodes = staged(first.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     base = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
-    postings = nodes.select("node", "n", "level", base.alias("base"), F.posexplode("prefix").alias("at", "token"))
-    postings = postings.select(
-        "token", "node", "n", "level", F.greatest(F.lit(1), F.col("at") - F.col("base") + 1).cast("int").alias("layer")
-    )
+    postings = nodes.select("node", "n", "level", base.alias("base"), F.explode("prefix").alias("token"))
+    postings = postings.select("token", "node", "n", "level", "base")
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     lists = staged(postings.join(shared, "token"), "postings")
 
     links = None
     for turn in range(PIVOT_ROUNDS + 1):
         labelled = staged(_labelled(lists, links), "open-postings")
-        pairs = _pivot_pairs(labelled, turn, percent) if turn < PIVOT_ROUNDS else _remaining_pairs(labelled, percent)
+        pairs = _pivot_pairs(labelled, turn, percent) if turn < PIVOT_ROUNDS else _remaining_pairs(labelled, nodes, percent)
         new = verified(docs, nodes, staged(pairs, "pairs"), width, percent)
         links = staged(new if links is None else links.unionByName(new), "links")
 
