@@ -11,11 +11,16 @@ Steps, each a written table:
 1. a sketch of shingle frequencies of fixed size, which only sets the order and the costs;
 2. prefixes per document; equal sets become one node;
 3. postings whose shingle occurs in two nodes or more;
-4. two rounds in which every node is verified against one pivot, so that groups of near copies
+4. a round in which every node is verified against one pivot, so that groups of near copies
    become components by as many pairs as they have members;
-5. all remaining pairs between different components, verified. A posting list that lies within
-   one component makes no pair; in the others, members of the list's largest component meet only
-   the rest. Pairs inside a component can't change the result.
+5. nodes that meet a common anchor keep how they differ from it. Two similar sets whose differences
+   have nothing in common are both similar to the anchor, so they are in its component already.
+   All other similar sets with this anchor share at least a known part of their differences, and a
+   prefix join over these short sets finds them: near copies that are just not similar enough are
+   not compared one by one;
+6. all remaining pairs between different components and anchors, verified. A posting list that lies
+   within one component or anchor makes no pair; in the others, members of the list's largest class
+   meet only the rest. Pairs inside a component can't change the result.
 
 No pair of different components that may be similar is skipped, so components are exact. Texts
 without words, also null and empty ones, have no shingles and are linked with nothing. Repeated rows
@@ -42,7 +47,10 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 65536
 MAX_LEVEL = 24
 VERIFY_COST = 8.0
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
+ANCHOR_LEAST = 16  # smaller groups are cheaper pair by pair
+ANCHOR_SPAN = 4  # differences that are kept, in multiples of what similar sets may differ by
+ANCHOR_TOKENS = 512
 FILTER_BLOCKS = 256
 FILTER_BITS = 32768
 MEMO = 500_000
@@ -189,8 +197,8 @@ def _bit(column: str) -> tuple:
     return F.floor(slot / FILTER_BITS), slot % FILTER_BITS
 
 
-def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar. Only texts that occur in a pair are read again.
+def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """(node, items) for both ends of the pairs (a, b). Only their texts are cut into shingles again.
 
     A bitmap of fixed size tells which texts may be wanted; it saves work and decides nothing.
     """
@@ -228,9 +236,14 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, pe
                 yield pd.DataFrame(rows, columns=["signature", "items"])
 
     found = hits.mapInPandas(sets, "signature binary, items array<long>")
-    items = staged(
+    return staged(
         wanted.join(found, "signature").groupBy("node").agg(F.any_value("items").alias("items")), "sets"
     )
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar."""
+    items = _sets(docs, nodes, pairs, width)
     both = F.size(F.array_intersect("items_a", "items_b"))
     either = F.size("items_a") + F.size("items_b") - both
     joined = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a").join(
@@ -267,24 +280,95 @@ def _pivot_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
 
-def _remaining_pairs(lists: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that share enough of their prefixes, each made once.
+def _anchors(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): for nodes that meet a pivot of many nodes, the pivot of the most nodes."""
+    order = F.struct(F.xxhash64(F.lit("anchor"), "node").alias("o"), "node", "n")
+    pivots = lists.groupBy("token").agg(F.min(order).alias("p"))
+    met = lists.join(pivots, "token").where(
+        (F.col("p.node") != F.col("node")) & _similar_sizes("n", "p.n", 2 * percent - 100)
+    )
+    met = staged(met.select("node", F.col("p.node").alias("pivot")).distinct(), "met")
+    popular = met.groupBy("pivot").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ANCHOR_LEAST)
+    best = met.join(popular, "pivot").groupBy("node").agg(F.max(F.struct("k", "pivot")).alias("best"))
+    return staged(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "anchors")
+
+
+def _differences(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, anchor, n, anchor_n, d, outside): ``d`` holds what only one of the node and its anchor has,
+    what the anchor lacks first; ``outside`` nodes are not similar to their anchor.
+
+    Nodes that differ by much from their anchor are left out.
+    """
+    items = _sets(docs, nodes, anchors, width)
+    own = items.select(F.col("node").alias("a"), "items")
+    of_anchor = items.select(F.col("node").alias("b"), F.col("items").alias("anchor_items"))
+    added, gone = F.array_except("items", "anchor_items"), F.array_except("anchor_items", "items")
+    rows = anchors.join(own, "a").join(of_anchor, "b").select(
+        F.col("a").alias("node"),
+        F.col("b").alias("anchor"),
+        F.size("items").alias("n"),
+        F.size("anchor_items").alias("anchor_n"),
+        F.concat(F.array_sort(added), F.array_sort(gone)).alias("d"),
+    )
+    apart, allowed = (100 + percent) * F.size("d"), (100 - percent) * (F.col("n") + F.col("anchor_n"))
+    near = (apart <= ANCHOR_SPAN * allowed) & (F.size("d") <= ANCHOR_TOKENS)
+    return staged(rows.where(near).withColumn("outside", apart > allowed), "differences")
+
+
+def _anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of nodes that have an anchor in common.
+
+    Sets differ by what only one of them differs from the anchor in. One end of such a link is
+    outside, which bounds from below how much the other's differences share with it.
+    """
+    scale, slack = 100 + percent, 100 - percent
+    least = F.floor((scale * F.size("d") + slack * (F.col("anchor_n") - F.col("n"))) / (2 * scale)) + 1
+    rows = differences.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rows = staged(rows.withColumn("prefix", F.size("d") - F.greatest(least, F.lit(1)) + 1), "anchored")
+    posts = rows.select(
+        "anchor", "node", "component", "outside", "prefix", F.posexplode("d").alias("at", "token")
+    ).where("outside or at < prefix")
+    mixed = posts.groupBy("anchor", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    posts = posts.join(mixed.where("lo < hi").select("anchor", "token"), ["anchor", "token"])
+    posts = staged(posts.join(rows.select("node", "n", "d"), "node"), "anchored-postings")
+    a, b = posts.where("outside").alias("a"), posts.where("at < prefix").alias("b")
+    apart = F.size("a.d") + F.size("b.d") - 2 * F.size(F.array_intersect("a.d", "b.d"))
+    earlier = [F.slice(f"{x}.d", F.lit(1), F.col(f"{x}.at")) for x in "ab"]
+    meets = (
+        (F.col("a.anchor") == F.col("b.anchor"))
+        & (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.component") != F.col("b.component"))
+        & (~F.col("b.outside") | ((F.col("a.at") < F.col("a.prefix")) & (F.col("a.node") < F.col("b.node"))))
+        & ~F.arrays_overlap(*earlier)
+        & (scale * apart <= slack * (F.col("a.n") + F.col("b.n")))
+    )
+    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
+def _remaining_pairs(lists: DataFrame, nodes: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components and anchors that share enough of their prefixes, each made once.
 
     A pair is made at the first shingle that its two prefixes share, and only if they share as many
     as the smaller of their levels asks for.
     """
-    sizes = lists.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("k", "component"))["component"].alias("main"))
-    lists = lists.join(nodes.select("node", "prefix"), "node").join(largest, "token")
+    anchor = differences.select("node", (-F.col("anchor") - 1).alias("anchor"))
+    lists = lists.join(anchor, "node", "left").withColumn("class", F.coalesce("anchor", "component"))
+    lists = staged(lists.drop("anchor"), "classed")
+    sizes = lists.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k"))
+    largest = sizes.groupBy("token").agg(
+        F.max(F.struct("k", "class"))["class"].alias("main"), F.count(F.lit(1)).alias("classes")
+    )
+    lists = lists.join(largest.where("classes > 1").drop("classes"), "token").join(nodes.select("node", "prefix"), "node")
     lists = staged(lists, "lists")
-    a, b = lists.where("component != main").alias("a"), lists.alias("b")
+    a, b = lists.where("class != main").alias("a"), lists.alias("b")
     need = F.least("a.level", "b.level")
     before = [F.slice(f"{x}.prefix", F.lit(1), F.array_position(f"{x}.prefix", F.col("a.token")).cast("int") - 1) for x in "ab"]
     asked = [F.slice(f"{x}.prefix", F.lit(1), (F.col(f"{x}.base") + need).cast("int")) for x in "ab"]
     meets = (
         (F.col("a.token") == F.col("b.token"))
+        & (F.col("a.class") != F.col("b.class"))
         & (F.col("a.component") != F.col("b.component"))
-        & ((F.col("b.component") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
+        & ((F.col("b.class") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
         & _similar_sizes("a.n", "b.n", percent)
         & ~F.arrays_overlap(*before)
         & (F.size(F.array_intersect(*asked)) >= need)
@@ -314,12 +398,21 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     lists = staged(postings.join(shared, "token"), "postings")
 
     links = None
-    for turn in range(PIVOT_ROUNDS + 1):
-        labelled = staged(_labelled(lists, links), "open-postings")
-        pairs = _pivot_pairs(labelled, turn, percent) if turn < PIVOT_ROUNDS else _remaining_pairs(labelled, nodes, percent)
+    for turn in range(PIVOT_ROUNDS):
+        pairs = _pivot_pairs(staged(_labelled(lists, links), "open-postings"), turn, percent)
         new = verified(docs, nodes, staged(pairs, "pairs"), width, percent)
         links = staged(new if links is None else links.unionByName(new), "links")
 
+    anchors = _anchors(staged(_labelled(lists, links), "open-postings"), percent)
+    differences = _differences(docs, nodes, anchors, width, percent)
+    near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
+    links = staged(links.unionByName(near), "links")
+    links = staged(links.unionByName(_anchored_links(differences, components(links), percent)), "links")
+
+    labelled = staged(_labelled(lists, links), "open-postings")
+    pairs = staged(_remaining_pairs(labelled, nodes, differences, percent), "pairs")
+    links = staged(links.unionByName(verified(docs, nodes, pairs, width, percent)), "links")
+
     known = components(links)
     member = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = member.select("signature", "low", "component")

@@ -230,6 +230,24 @@ def test_ngram_join_equals_brute_force(spark, texts):
         assert got == classes(own, width, percent)
 
 
+def test_ngram_join_of_copies_around_the_limit(spark):
+    """Groups of near copies whose similarity to each other and to their anchor straddles the limit."""
+    chance, own = random.Random(8), {}
+    for group, edits in enumerate(((2, 7), (4, 6), (5, 9))):
+        base = [f"g{group}w{i}" for i in range(240)]
+        shared = [f"g{group}s{i}" for i in range(6)]
+        for k in range(90):
+            words = list(base)
+            for _ in range(chance.randint(*edits)):
+                at = chance.randrange(240)
+                words[at] = chance.choice(shared) if chance.random() < 0.5 else f"u{group}-{k}-{at}"
+            own[1000 * group + k] = " ".join(words)
+    df = spark.createDataFrame(list(own.items()), "doc_id long, text string")
+    for width, percent in ((3, 90), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_documents(df, width, percent).collect()}
+        assert got == classes(own, width, percent)
+
+
 def removal(rows):
     last, first = 2**63 - 1, {}
     for d, text in rows:
