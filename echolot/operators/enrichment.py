@@ -27,10 +27,16 @@ _TEXT_KEY = "_text_key"
 BROADCAST_TERM_ROWS = 2_000_000
 BROADCAST_TERM_BYTES = 64 * 1024 * 1024
 
-# A capitalised name followed by a legal form.
+# One to six capitalised words, or a lower-case one after an article or preposition, followed
+# by a legal form that ends there.
 LEGAL_FORMS = ("GmbH", "AG", "SE", "e.V.")
+ARTICLES = "[Dd]er|[Dd]ie|[Dd]as|[Dd]em|[Dd]en|[Dd]es|[Vv]on|[Ff]ür|[Bb]ei"
+CAPITALISED = r"[\p{Lu}\p{N}][\p{L}\p{N}&-]*"
 ORGANISATION_PATTERN = (
-    "([A-ZÄÖÜ][A-Za-zäöüÄÖÜß-]+ (" + "|".join(map(re.escape, LEGAL_FORMS)) + "))"
+    rf"(?:^|[^\p{{L}}\p{{N}}])(?:(?:{ARTICLES}) )?"
+    rf"((?:{CAPITALISED}(?: (?:& )?{CAPITALISED}){{0,5}}?"
+    rf"|(?<=(?:{ARTICLES}) )\p{{Ll}}[\p{{L}}\p{{N}}&-]*)"
+    " (?:" + "|".join(map(re.escape, LEGAL_FORMS)) + r"))(?![\p{L}\p{N}])"
 )
 
 # The layout of the two prompts, after the instruction.

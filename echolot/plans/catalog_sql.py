@@ -15,7 +15,6 @@ from echolot.config import (
     UNCLEAR,
 )
 from echolot.functions.text import PYTHON_WHITE_SPACE, WHITE_SPACE
-from echolot.operators.enrichment import ORGANISATION_PATTERN
 from echolot.plans import catalog as q
 from echolot.plans.document_issues import (
     AUTHOR_STATE,
@@ -51,6 +50,15 @@ def _values(rows) -> str:
     return ", ".join(_in(row) for row in rows)
 
 
+# The organisation rule again, as this engine writes it: capitalised names, else lower-case ones.
+NAMED = (
+    r"(?:^|[^\pL\pN])(?:(?:[Dd]e[rmns]|[Dd]ie|[Dd]as|[Vv]on|[Ff]ür|[Bb]ei) )?"
+    r"((?:[\p{Lu}\pN][\pL\pN&-]* (?:& )?){1,6}?(?:GmbH|AG|SE|e\.V\.))(?:[^\pL\pN]|$)"
+)
+LOWER_NAMED = (
+    r"(?:^|[^\pL\pN])(?:[Dd]e[rmns]|[Dd]ie|[Dd]as|[Vv]on|[Ff]ür|[Bb]ei) "
+    r"(\p{Ll}[\pL\pN&-]* (?:GmbH|AG|SE|e\.V\.))(?:[^\pL\pN]|$)"
+)
 FRACTION_MICROS = "CASE doc_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 100000 WHEN 2 THEN 80000 ELSE 80123 END"
 
 RAW = f"""
@@ -96,8 +104,10 @@ found AS (
   FROM toks JOIN rules USING (tok) GROUP BY iid),
 enriched AS (
   SELECT p.*, coalesce(s, 0.0) AS sentiment, ls,
-    coalesce(nullif(trim(regexp_extract(concat_ws(chr(10), title, desc_clean),
-      {_text(ORGANISATION_PATTERN)}, 1)), ''), {_text(UNCLEAR)}) AS org
+    coalesce(
+      nullif(regexp_extract(concat_ws(chr(10), title, desc_clean), {_text(NAMED)}, 1), ''),
+      nullif(regexp_extract(concat_ws(chr(10), title, desc_clean), {_text(LOWER_NAMED)}, 1), ''),
+      {_text(UNCLEAR)}) AS org
   FROM prepared p LEFT JOIN scores USING (iid) LEFT JOIN found USING (iid)),
 post AS (
   SELECT * REPLACE (

@@ -42,6 +42,10 @@ DESCRIPTION = """CASE
   WHEN doc_id % 50 = 31 THEN 'TEST'
   WHEN doc_id % 50 = 32 THEN '**Feedback:** <br>'
   WHEN doc_id % 7 = 0 THEN concat('**Feedback:** <br>', text, ' Beitrag der Musterwerk GmbH')
+  WHEN doc_id % 7 = 1 THEN concat('**Feedback:** <br>', text, ' Beitrag der nordlicht GmbH')
+  WHEN doc_id % 7 = 2 THEN concat('**Feedback:** <br>', text, ' Unsere AGB und Diese SERVICES gelten.')
+  WHEN doc_id % 7 = 3 THEN concat('**Feedback:** <br>', text, ' für die Muster Digital Services GmbH.')
+  WHEN doc_id % 7 = 4 THEN concat('**Feedback:** <br>', text, ' von Müller & Söhne AG, Ulm')
   ELSE concat('**Feedback:** <br>', text) END"""
 STATE = "CASE WHEN doc_id % 3 = 0 THEN 'closed' ELSE 'opened' END"
 FRACTION = """CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '.1' WHEN 2 THEN '.080'

@@ -131,6 +131,25 @@ def test_organisation_comes_from_title_or_text(spark):
     assert got == {1: "Beispiel GmbH", 2: "Bündnis e.V.", 3: "Unklar", 4: "Unklar"}
 
 
+@pytest.mark.parametrize(
+    ("text", "org"),
+    [
+        ("Konsultationsbeitrag der nordlicht GmbH", "nordlicht GmbH"),
+        ("Unsere AGB gelten", "Unklar"),
+        ("Diese SERVICES", "Unklar"),
+        ("für die Muster Digital Services GmbH.", "Muster Digital Services GmbH"),
+        ("von Müller & Söhne GmbH", "Müller & Söhne GmbH"),
+        ("T-Systems International GmbH", "T-Systems International GmbH"),
+        ("Die 1&1 AG meint", "1&1 AG"),
+        ("Erste GmbH Zweite GmbH", "Erste GmbH"),
+        ("wir als gmbh, eine kleine GmbH", "Unklar"),
+    ],
+)
+def test_organisation_names(spark, text, org):
+    df = spark.createDataFrame([(1, None, text)], "iid long, title string, desc_clean string")
+    assert values(enrichment.add_organization_attribution(df), "org") == {1: org}
+
+
 def test_prompts(spark):
     df = spark.createDataFrame([(1, None, "Text")], "iid long, title string, desc_clean string")
     row = enrichment.build_prompts(df, ["EU", "Daten"], "Ordne.", "Nenne.").first()
