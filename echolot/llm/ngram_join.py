@@ -256,11 +256,10 @@ def _similar_sizes(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
-def _labelled(lists: DataFrame, links: DataFrame | None) -> DataFrame:
+def _labelled(lists: DataFrame, known: DataFrame | None) -> DataFrame:
     """Postings with the component of their node, without lists that lie in one component."""
-    if links is None:
+    if known is None:
         return lists.withColumn("component", F.col("node"))
-    known = components(links)
     lists = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lists = staged(lists, "labelled")
     mixed = lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -397,19 +396,21 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     lists = staged(postings.join(shared, "token"), "postings")
 
-    links = None
+    links = known = None
     for turn in range(PIVOT_ROUNDS):
-        pairs = _pivot_pairs(staged(_labelled(lists, links), "open-postings"), turn, percent)
+        pairs = _pivot_pairs(staged(_labelled(lists, known), "open-postings"), turn, percent)
         new = verified(docs, nodes, staged(pairs, "pairs"), width, percent)
         links = staged(new if links is None else links.unionByName(new), "links")
+        known = components(links)
 
-    anchors = _anchors(staged(_labelled(lists, links), "open-postings"), percent)
+    anchors = _anchors(staged(_labelled(lists, known), "open-postings"), percent)
     differences = _differences(docs, nodes, anchors, width, percent)
     near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
     links = staged(links.unionByName(near), "links")
-    links = staged(links.unionByName(_anchored_links(differences, components(links), percent)), "links")
+    known = components(links)
+    links = staged(links.unionByName(_anchored_links(differences, known, percent)), "links")
 
-    labelled = staged(_labelled(lists, links), "open-postings")
+    labelled = staged(_labelled(lists, known), "open-postings")
     pairs = staged(_remaining_pairs(labelled, nodes, differences, percent), "pairs")
     links = staged(links.unionByName(verified(docs, nodes, pairs, width, percent)), "links")
 
