@@ -28,6 +28,13 @@ def check_terms(terms: Iterable[str]) -> list[str]:
     return distinct
 
 
+def checked_term(term: Column) -> Column:
+    """The term of a table row; fails the job on one that can never equal a token (an empty token can occur)."""
+    good = term.isNull() | ((term == F.lower(term)) & term.rlike(r"^\p{L}*$"))
+    message = F.concat(F.lit("terms must be single lower-case words: "), term)
+    return F.when(good, term).otherwise(F.raise_error(message))
+
+
 def tokens(text: Column) -> Column:
     return F.split(F.lower(text), TOKEN_SEPARATOR)
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolot.config import UNCLEAR, IngestConfig
-from echolot.functions.terms import INLINE_TERM_LIMIT, check_terms, inline_hits, tokens
+from echolot.functions.terms import INLINE_TERM_LIMIT, check_terms, checked_term, inline_hits, tokens
 from echolot.functions.text import strip
 
 _HITS = "_term_hits"
@@ -81,7 +81,7 @@ def _sentiment_of(text: Column, hits: Column, lexicon: Mapping[str, int]) -> Col
     for word, weight in lexicon.items():
         words_of[weight].append(word)
     weights = F.array_compact(F.transform(hits, lambda hit: _lookup(hit, words_of, F.lit)))
-    zero = F.struct(F.lit(0).alias("total"), F.lit(0).alias("n"))
+    zero = F.struct(F.lit(0).cast("long").alias("total"), F.lit(0).alias("n"))
     return F.aggregate(
         weights,
         zero,
@@ -140,12 +140,15 @@ def _matched_terms(df: DataFrame, terms: DataFrame, text: str, key: str) -> Data
     words = _with_text_key(df.select(key, text), text).select(
         key, _TEXT_KEY, F.explode(tokens(F.col(text))).alias("tok")
     )
+    terms = terms.withColumn("tok", checked_term(F.col("tok")))
     return words.join(broadcast_if_small(terms), "tok")
 
 
 def _join_back(df: DataFrame, values: DataFrame, text: str, key: str) -> DataFrame:
-    joined = _with_text_key(df, text).join(values, [key, _TEXT_KEY], "left")
-    return joined.drop(_TEXT_KEY)
+    values = values.withColumnsRenamed({key: "_value_key", _TEXT_KEY: "_value_text"})
+    same = F.col(key).eqNullSafe(F.col("_value_key")) & (F.col(_TEXT_KEY) == F.col("_value_text"))
+    joined = _with_text_key(df, text).join(values, same, "left")
+    return joined.drop(_TEXT_KEY, "_value_key", "_value_text")
 
 
 def add_sentiment_scores(

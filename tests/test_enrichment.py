@@ -197,3 +197,27 @@ def test_scorer_returns_lists_and_checks_their_number(texts):
     )
     got = values(texts.withColumn("l", value), "l")
     assert got == {1: ["EU"], 2: [], 3: [], 4: [], 5: [], 6: []}
+
+
+def test_short_and_long_term_tables_agree(spark):
+    """Null keys, null texts and large weights, looked up in the row and joined."""
+    rows = [(None, "gut gut"), (1, "gut schlecht gut"), (2, None), (None, None), (3, "")]
+    df = spark.createDataFrame(rows, "iid long, desc_clean string")
+    short = {"gut": 2_000_000_000, "schlecht": -1}
+    letters = string.ascii_lowercase
+    long = short | {f"x{a}{b}": 1 for a in letters for b in letters} | {f"y{a}{b}": 1 for a in letters for b in letters}
+    assert len(short) <= INLINE_TERM_LIMIT < len(long)
+
+    def found(lexicon):
+        scored = enrichment.add_sentiment_scores(df, lexicon)
+        both = enrichment.add_labels(scored, [(word, word) for word in lexicon])
+        return sorted(map(str, both.select("iid", "desc_clean", "sentiment", "labels_v1").collect()))
+
+    assert found(short) == found(long)
+
+
+def test_term_tables_are_checked(spark, texts):
+    for term in ("Gut", "zwei worte", "7"):
+        terms = spark.createDataFrame([(term, 1)], "tok string, w int")
+        with pytest.raises(Exception, match="single lower-case words"):
+            enrichment.add_sentiment_scores(texts, terms).collect()
