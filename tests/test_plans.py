@@ -57,7 +57,7 @@ def test_exclusions_run_before_the_shuffle(raw):
 
 def test_history_adds_no_shuffle_of_the_issues(spark, raw, tmp_path):
     path = str(tmp_path / "keys")
-    spark.createDataFrame([("k",)], "content_key string").write.parquet(path)
+    spark.createDataFrame([("k", 1)], "content_key string, iid long").write.parquet(path)
     known = spark.read.parquet(path).hint("merge")
     text = plan(cleaning.clean_issues(raw, CFG, known))
     assert exchanges(text) == 2  # the issues and the keys
