@@ -42,12 +42,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents by the words that the mix takes of them: as many whole copies as come nearest."""
-    taken = mixing.mix(docs).where("taken > 0").select(
-        F.col("doc_id").alias("id"), F.round(F.col("taken") / F.col("size")).cast("int").alias("copies")
-    )
-    copies = docs.join(taken, docs["doc_id"].eqNullSafe(taken["id"])).where("copies > 0")
-    return copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    """Whole copies of documents, so that each source has about the words of its target."""
+    return mixing.whole_copies(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,7 @@ MAX_BLOCK = 512
 BLOCKS = 65536
 SHARD_WORDS = 65536
 MAX_SHARDS = 16384
+ONE = 2**32
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -92,9 +93,14 @@ def targets(sources: DataFrame, total: int) -> DataFrame:
 
 def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for each row of ``docs``."""
-    spark = docs.sparkSession
+    return placed_mix(docs, seed).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def placed_mix(docs: DataFrame, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The mix with each row's source_no, shard and place in the shard, and with the columns ``keep``,
+    which also order rows of equal id and size."""
     sized = staged(
-        docs.select("doc_id", "source", word_count(text_or_empty()).alias("size")), "mix-sizes"
+        docs.select("doc_id", "source", word_count(text_or_empty()).alias("size"), *keep), "mix-sizes"
     )
     total = sized.agg(F.sum("size")).first()[0] or 0
     block = max(1, min(MAX_BLOCK, total // BLOCKS))
@@ -117,7 +123,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
         .withColumn("digest", digest)
         .withColumn("shard", F.conv(F.substring("digest", 1, 8), 16, 10).cast("long") % F.col("shards"))
     )
-    in_shard = Window.partitionBy("source_no", "shard").orderBy("digest", "doc_id", "size")
+    in_shard = Window.partitionBy("source_no", "shard").orderBy("digest", "doc_id", "size", *keep)
     placed = staged(
         placed.withColumn("place", F.row_number().over(in_shard))
         .withColumn("end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
@@ -182,12 +188,50 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     ).select("*", "x.block", "x.shared")
     return (
         meets.join(chosen, ["source_no", "shard", "block"], "left")
-        .groupBy("source_no", "shard", "place", "doc_id", "size", "source_size", "target")
+        .groupBy("source_no", "shard", "place", "doc_id", "size", "source_size", "target", *keep)
         .agg(F.coalesce(F.sum(F.when(F.col("chosen"), F.col("shared"))), F.lit(0)).alias("taken"))
-        .select("doc_id", "size", "source_size", "target", "taken")
     )
 
 
+def whole_copies(docs: DataFrame, seed: str = SEED) -> DataFrame:
+    """Rows of ``docs``, each as many times as the mix takes of it, in whole documents.
+
+    A document gets ``taken div size`` copies, and one more with the chance that is left. The parts
+    left are added up along the shards of a source, within a shard by size, and each time
+    the sum passes an integer, the document there gets its further copy. A seeded offset
+    makes this free of bias for each document. Neighbours in this order have nearly equal sizes (odd shards
+    run downwards), so what one document has too much its neighbours have too little, and the words of
+    a source come near its target. Rows are told apart by a row number in a written table.
+    """
+    rows = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("row_no")), "mix-rows")
+    order = F.md5(F.to_json("row")).alias("row_key")
+    mixed = placed_mix(rows.select("row.doc_id", "row.source", "row.text", order, "row_no"), seed, ("row_key", "row_no"))
+    mixed = staged(
+        mixed.where("taken > 0").select(
+            "source_no", "shard", "place", "size", "row_no",
+            F.expr("taken div size").alias("whole"), F.expr(f"(taken % size) * {ONE} div size").alias("part"),
+        ),
+        "mix-taken",
+    )
+    start = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "source_no")), 1, 8), 16, 10).cast("long")
+    by_shard = Window.partitionBy("source_no").orderBy("shard")
+    offsets = mixed.groupBy("source_no", "shard").agg(F.sum("part").alias("parts")).select(
+        "source_no", "shard", (start + F.sum("parts").over(by_shard) - F.col("parts")).alias("offset")
+    )
+    by_size = Window.partitionBy("source_no", "shard").orderBy(
+        F.when(F.col("shard") % 2 == 0, F.col("size")).otherwise(-F.col("size")), "place"
+    )
+    upto = F.col("offset") + F.sum("part").over(by_size.rowsBetween(Window.unboundedPreceding, 0))
+    further = F.shiftright(upto, 32) - F.shiftright(upto - F.col("part"), 32)
+    copies = (
+        mixed.join(offsets, ["source_no", "shard"])
+        .select("row_no", (F.col("whole") + further).cast("int").alias("copies"))
+        .where("copies > 0")
+    )
+    each = rows.join(copies, "row_no").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select("row.*")
+
+
 def passes_of(block: int) -> Column:
     """Passes over a shard in which its quota of blocks starts."""
     return F.least(F.lit(REPEATS).cast("long"), F.floor(F.col("quota") * block / F.col("shard_size")) + 1)

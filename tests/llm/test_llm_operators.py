@@ -361,3 +361,37 @@ def test_pipeline_stages(spark):
     assert kept[0] == kept[1] and kept[2] == kept[3] == len({c for _, c in groups.values()})
     assert not docs.where(F.col("text").rlike("[0-9a-f]{24}")).count()
     assert pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def words_by_source(docs):
+    size = F.sum(F.regexp_count("text", F.lit(mixing.WORD)))
+    return {r.source: r.words for r in docs.groupBy("source").agg(size.alias("words")).collect()}
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_pipeline_mix_meets_targets(spark, scale):
+    """Whole copies have each source's target of words."""
+    import corpus_pipeline as pipeline
+
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet")
+    docs = docs.withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id").cast("string")))
+    docs = pipeline.staged(docs, "mix-test")
+    kept = pipeline.staged(pipeline.mix_sources(spark, docs, ""), "mix-test-kept")
+    assert kept.columns == docs.columns and not kept.exceptAll(docs.crossJoin(spark.range(3)).drop("id")).count()
+    again = pipeline.mix_sources(spark, docs.repartition(5), "")
+    assert not kept.exceptAll(again).count() and not again.exceptAll(kept).count()
+    sizes, longest = words_by_source(docs), docs.agg(F.max(F.regexp_count("text", F.lit(mixing.WORD)))).first()[0]
+    targets = {r.source_size: r.target for r in mixing.mix(docs).select("source_size", "target").distinct().collect()}
+    got = words_by_source(kept)
+    assert all(abs(got.get(s, 0) - targets[n]) <= longest + mixing.MAX_BLOCK for s, n in sizes.items())
+
+
+def test_pipeline_mix_keeps_long_documents(spark):
+    """Of a source with far more than its target, long documents have the chance of all others."""
+    import corpus_pipeline as pipeline
+
+    rows = [(i, "w " * (3000 if i % 10 == 0 else 100), "en", "abc"[i % 3 if i < 90 else 0], 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    taken = mixing.mix(docs).where("size = 3000 and taken < size").select(F.sum(F.col("taken") / F.col("size"))).first()[0]
+    kept = pipeline.mix_sources(spark, docs, "").where("length(text) = 6000 and source = 'a'").count()
+    assert taken > 3 and abs(kept - taken) <= 3
