@@ -368,13 +368,16 @@ def words_by_source(docs):
     return {r.source: r.words for r in docs.groupBy("source").agg(size.alias("words")).collect()}
 
 
+@pytest.mark.parametrize("lost_ids", [False, True])
 @pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
-def test_pipeline_mix_meets_targets(spark, scale):
-    """Whole copies have each source's target of words."""
+def test_pipeline_mix_meets_targets(spark, scale, lost_ids):
+    """Whole copies have each source's target of words; also where a third of the ids is null and a third is 7."""
     import corpus_pipeline as pipeline
 
     docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet")
     docs = docs.withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id").cast("string")))
+    if lost_ids:
+        docs = docs.withColumn("doc_id", F.expr("if(doc_id % 3 = 0, null, if(doc_id % 3 = 1, 7, doc_id))"))
     docs = pipeline.staged(docs, "mix-test")
     kept = pipeline.staged(pipeline.mix_sources(spark, docs, ""), "mix-test-kept")
     assert kept.columns == docs.columns and not kept.exceptAll(docs.crossJoin(spark.range(3)).drop("id")).count()
