@@ -2,12 +2,12 @@
 
 Null and empty texts, and texts without letters, leave in the first stage, since no language can be
 told. All stages but the last return the columns of ``documents``; extra columns pass through
-unread. Repeated rows: the second stage keeps one document of each near-duplicate group.
+unread, inside one struct while a stage runs, so they can have any names. Repeated rows: the second stage keeps one document of each near-duplicate group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echolot.llm import bpe_stream, credentials, language_mixture, mixing, ngram_join
@@ -19,26 +19,34 @@ SIMILAR_PERCENT = 80
 REDACTED = "[secret]"
 
 
+def columns_of(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of ``docs`` out of the struct ``row``, some of them new."""
+    return [new.get(name, F.col("row")[name]).alias(name) for name in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents in a learned language; ``lang`` becomes the language found.
 
     Rejected are documents without letters and those that fit the background better than all languages.
     """
     model = language_mixture.fit(docs.select("text", "lang"))
-    found = language_mixture.identify(docs, model)
+    found = language_mixture.identify(docs.select(F.struct("*").alias("row")), model, "row.text")
     kept = found.where((F.col("lang_pred") != "und") & (F.col("background") <= 0.5))
-    return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    return kept.select(*columns_of(docs, lang=F.col("lang_pred")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of similar texts, the one with the smallest id."""
-    return ngram_join.keep_first(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    rows = docs.select("doc_id", "text", F.struct("*").alias("row"))
+    return ngram_join.keep_first(rows, SHINGLE_WORDS, SIMILAR_PERCENT).select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with each secret replaced by a mark."""
-    clean = credentials.redact(docs, REDACTED).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(docs.columns)
+    others = docs.select("doc_id", "text", F.struct(*[docs[f"`{c}`"] for c in docs.columns if c != "text"]).alias("row"))
+    clean = credentials.redact(others, REDACTED)
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.select(*columns_of(docs, text=F.col("text"), n_chars=n_chars))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

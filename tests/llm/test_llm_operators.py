@@ -398,3 +398,31 @@ def test_pipeline_mix_keeps_long_documents(spark):
     taken = mixing.mix(docs).where("size = 3000 and taken < size").select(F.sum(F.col("taken") / F.col("size"))).first()[0]
     kept = pipeline.mix_sources(spark, docs, "").where("length(text) = 6000 and source = 'a'").count()
     assert taken > 3 and abs(kept - taken) <= 3
+
+
+CLASHING = (
+    "_m lang_pred score languages background _id _text f_key f_doc f_digest f_spans id copies copy row row_no row_key a.b"
+).split()
+
+
+def test_pipeline_stages_with_clashing_columns(spark, edges):
+    """Each stage over nulls, empty texts, repeated rows and extra columns of all names that operators use."""
+    import corpus_pipeline as pipeline
+
+    extra = [F.lit(f"{name} of old").alias(name) for name in CLASHING]
+    docs = edges.select("doc_id", "text", "lang", "source", F.length("text").alias("n_chars"), *extra)
+    docs = pipeline.staged(docs, "edges")
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), "").count() == 0
+        out = pipeline.staged(stage(spark, docs, ""), "edge-stage")
+        if name == pipeline.STAGES[-1][0]:
+            assert out.count() == len(EDGES)
+            continue
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(row[c] == f"{c} of old" for row in rows for c in CLASHING)
+        assert {row.text for row in rows} <= {text for _, text, *_ in EDGES}
+        if name == "n-gram Jaccard join":
+            assert len(rows) == len(EDGES) - 1
+        if name == "secret scans":
+            assert len(rows) == len(EDGES)
