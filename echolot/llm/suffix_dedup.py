@@ -14,7 +14,8 @@ the strings that it anchors. These pieces are dealt by anchor. Anchors with more
 digests of the strings, so no task gets all of them.
 
 Null and empty texts have no bytes. Rows that repeat a ``doc_id`` don't count as earlier for each other;
-a null ``doc_id`` counts as later than all others. Long texts are read in segments.
+a null ``doc_id`` counts as later than all others. A row is told by its id and a 64-bit hash of its text, its
+tag; rows equal in both have equal results. Long texts are read in segments.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolot.llm.common import staged, text_or_empty
@@ -166,7 +167,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
             )
 
     blobs = docs.mapInPandas(emit, "part int, n int, h binary, doc binary, tag binary, place binary")
-    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag int, place long, copies long")
+    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag long, place long, copies long")
 
 
 def suffix_order(data: np.ndarray, n: int) -> np.ndarray:
@@ -236,26 +237,36 @@ def packed_texts(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return docs.mapInPandas(pack, "doc_id long, tag int, n long, digest string, data binary")
+    return docs.mapInPandas(pack, "doc_id long, tag long, n long, digest string, data binary")
+
+
+def _pair(high: str, low: Column | str) -> Column:
+    """Two numbers below 2^31 as one, so that sets of pairs are sets of numbers."""
+    low = F.col(low) if isinstance(low, str) else low
+    return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(low.cast("long"))
 
 
 def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
     """(block, hot, doc_id, tag, start, piece): the bytes of the strings of each repeated anchor."""
-    listed = places.groupBy("doc_id", "tag").agg(F.collect_list("place").alias("places"), F.collect_list("copies").alias("copies"))
+    lanes_of = F.ceil(F.col("copies") / HOT)
+    listed = places.groupBy("doc_id", "tag").agg(F.collect_set(_pair("place", lanes_of)).alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher()
+        hasher, before = Hasher(), None
         for batch in batches:
-            rows, held = [], 0
+            rows = []
             for row in batch.itertuples(index=False):
+                if (row.doc_id, row.tag) == before:  # an equal row has the same pieces
+                    continue
+                before = row.doc_id, row.tag
                 data = np.frombuffer(zstandard.decompress(row.data), np.uint8)
-                order = np.argsort(row.places)
-                known, copies = np.asarray(row.places)[order], np.asarray(row.copies)[order]
+                pairs = np.sort(np.asarray(row.places))
+                known, lanes_at = pairs >> 32, pairs & (2**32 - 1)
                 for at, part in segments(data):
                     h, place, first, last = anchors(hasher, part)
                     found = np.minimum(np.searchsorted(known, place + at), len(known) - 1)
                     for i in np.flatnonzero(known[found] == place + at):
-                        lanes = -(-int(copies[found[i]]) // HOT)
+                        lanes = int(lanes_at[found[i]])
                         lane = (row.doc_id * 2654435761 + row.tag) % (2**31) % lanes
                         block = (int(h[i]) + lane * BASE) % 2**64 >> 24
                         piece = part[first[i] : last[i] + LENGTH].tobytes()
@@ -268,7 +279,7 @@ def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
 
     names = ["block", "hot", "doc_id", "tag", "start", "piece"]
     joined = texts.select("doc_id", "tag", "data").join(listed, ["doc_id", "tag"])
-    return joined.mapInPandas(cut, "block long, hot boolean, doc_id long, tag int, start long, piece binary")
+    return joined.mapInPandas(cut, "block long, hot boolean, doc_id long, tag long, start long, piece binary")
 
 
 def covered(found: DataFrame, blocks: int) -> DataFrame:
@@ -330,7 +341,7 @@ def covered(found: DataFrame, blocks: int) -> DataFrame:
         return result.reindex(columns=names).astype({"x": "Int64", "y": "Int64"})
 
     names = ["doc_id", "tag", "low", "high", "x", "y"]
-    schema = "doc_id long, tag int, low long, high long, x long, y long"
+    schema = "doc_id long, tag long, low long, high long, x long, y long"
     runs = found.withColumn("part", F.pmod("block", F.lit(blocks))).groupBy("part").applyInPandas(
         lambda block: sort_block(block), schema
     )
@@ -344,22 +355,23 @@ def covered(found: DataFrame, blocks: int) -> DataFrame:
 def dedupe(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, spans, kept_sha256) per row; spans are the removed runs [start, end)."""
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), text_or_empty().alias("text"))
-    keyed = keyed.withColumn("tag", (F.xxhash64("text") % 65536).cast("int"))
+    keyed = keyed.withColumn("tag", F.xxhash64("text"))
     places = staged(repeated_places(keyed), "places")
     blocks = max(1, places.count() // BLOCK_PIECES)
     runs = covered(pieces(packed_texts(keyed), places), blocks)
-    listed = runs.groupBy("doc_id", "tag").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
+    listed = runs.groupBy("doc_id", "tag").agg(F.collect_set(_pair("low", "high")).alias("runs"))
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
-                if row.lows is None:
+                if row.runs is None:
                     out.append((row.doc_id, row.n, [], row.digest))
                     continue
                 change = np.zeros(row.n + 1, np.int64)
-                np.add.at(change, np.asarray(row.lows), 1)
-                np.add.at(change, np.asarray(row.highs) + LENGTH, -1)
+                pairs = np.asarray(row.runs)
+                np.add.at(change, pairs >> 32, 1)
+                np.add.at(change, (pairs & (2**32 - 1)) + LENGTH, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                 kept = np.frombuffer(zstandard.decompress(row.data), np.uint8)[~gone].tobytes()

@@ -426,3 +426,18 @@ def test_pipeline_stages_with_clashing_columns(spark, edges):
             assert len(rows) == len(EDGES) - 1
         if name == "secret scans":
             assert len(rows) == len(EDGES)
+
+
+def test_suffix_dedup_of_many_null_and_equal_ids(spark):
+    """Texts of one id or none, so many that short hashes of them meet, and equal rows."""
+    chance = random.Random(6)
+    passage = "".join(chance.choices("abcdefgh ", k=90))
+    rows = [(1, passage)]
+    for k in range(2400):
+        own = "".join(chance.choices("ijklmnop ", k=chance.randint(60, 160)))
+        at = chance.randint(0, len(own))
+        text = own[:at] + passage[: chance.randint(50, 90)] + own[at:] if k % 2 else own
+        rows.append((None if k % 4 < 3 else 7, text))
+    rows += rows[-4:] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in suffix_dedup.report(df).collect()), key=str) == removal(rows)
