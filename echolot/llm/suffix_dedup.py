@@ -9,7 +9,8 @@ Sorting every suffix of the corpus moves more than ten bytes for each byte of te
 repeat is set aside first, exactly: among the ``GRAM``-byte strings in a string of ``LENGTH`` bytes the one with
 the smallest hash (rightmost of equal ones) is its anchor. Equal strings have equal anchors at equal
 places, so only places whose anchor occurs in two documents go into the suffix sort, each with the bytes of
-the strings that it anchors. These pieces are dealt by anchor. Anchors with more than
+the strings that it anchors. Whether two documents hold an anchor is decided in groups by hash, whose number grows
+with the text; an anchor that is repeated within a batch of texts comes there once a batch. Pieces are dealt by anchor. Anchors with more than
 ``HOT`` occurrences are dealt over several blocks; what a block finds first is compared between blocks by
 digests of the strings, so no task gets all of them.
 
@@ -36,7 +37,10 @@ GRAM = 18
 SPAN = LENGTH - GRAM + 1
 SEGMENT = 1 << 19
 FLUSH = 1_500_000
-PARTS = 256
+PART_BITS = 8
+HASH_BITS = 48
+GROUP_BYTES = 24_000_000
+FEW = 16
 HOT = 8_000
 BLOCK_PIECES = 8_000
 LAST_ID = 2**63 - 1
@@ -106,14 +110,37 @@ def _unpack(x: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.decompress(x), np.int64))
 
 
+def short_hash(h: np.ndarray) -> np.ndarray:
+    """``HASH_BITS`` bits, spread again, since anchors have the smallest hashes. Different anchors that
+    share them only cause more places to be looked at."""
+    return _mix(h) >> U(64 - HASH_BITS)
+
+
+def _low_bytes(x: np.ndarray, size: int) -> bytes:
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def _from_low_bytes(x: bytes, size: int) -> np.ndarray:
+    wide = np.zeros((len(x) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(x, np.uint8).reshape(-1, size)
+    return wide.view(np.uint64).ravel()
+
+
 def _as_bytes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def repeated_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, segment, place, copies, earlier) of all anchors that two documents hold.
+def group_bits(docs: DataFrame) -> int:
+    """Bits of the hash that number the groups of anchors: about one group for ``GROUP_BYTES`` of text."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(PART_BITS, (total // GROUP_BYTES).bit_length())
+
 
-    Anchors travel as packed columns, dealt by hash; a batch keeps its first document of each.
+def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
+    """Anchors of batches of texts as packed columns, dealt by a hash's first bits, part.
+
+    An anchor that two documents of the batch hold, or one more than ``FEW`` times, goes to its part only
+    as smallest and largest document and count; its places travel apart, under a negative part.
     """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -123,7 +150,7 @@ def repeated_places(docs: DataFrame) -> DataFrame:
                 data = _as_bytes(text)
                 for at, part in segments(data):
                     h, place, _, _ = anchors(hasher, part)
-                    held.append((h, np.full(len(h), doc_id), np.full(len(h), tag), place + at))
+                    held.append((short_hash(h), np.full(len(h), doc_id), np.full(len(h), tag), place + at))
                     n += len(h)
                 if n >= FLUSH:
                     yield packed(held)
@@ -133,41 +160,83 @@ def repeated_places(docs: DataFrame) -> DataFrame:
 
     def packed(held: list) -> pd.DataFrame:
         h, doc, tag, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        part = (h >> U(56)).astype(np.int64)
-        order = np.lexsort((place, tag, doc, part))
-        h, doc, tag, place, part = h[order], doc[order], tag[order], place[order], part[order]
-        cut = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        order = np.argsort(h, kind="stable")
+        start = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+        count = np.diff(np.append(start, len(h)))
+        low, high = np.minimum.reduceat(doc[order], start), np.maximum.reduceat(doc[order], start)
+        known = (low < high) | (count > FEW)
+        first, low, high, total = h[order][start][known], low[known], high[known], count[known]
+        is_known = np.zeros(len(h), bool)
+        is_known[order] = np.repeat(known, count)
         rows = []
-        for a, b in zip(cut, np.append(cut[1:], len(part)), strict=True):
-            short = h[a:b].view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
-            rows.append((int(part[a]), b - a, short, _pack(doc[a:b]), _pack(tag[a:b]), _pack(place[a:b])))
-        return pd.DataFrame(rows, columns=["part", "n", "h", "doc", "tag", "place"])
+        if len(first):
+            k = np.flatnonzero(is_known)
+            k = k[np.lexsort((place[k], tag[k], doc[k]))]
+            apart = -1 - int(_mix(h.sum(dtype=np.uint64)) >> U(2))
+            rows.append((apart, len(k), _low_bytes(h[k], 6), _pack(doc[k]), _pack(tag[k]), _pack(place[k]), None, None, None, None))
+        shift = U(HASH_BITS - bits)
+        k = np.flatnonzero(~is_known)
+        part = (h[k] >> shift).astype(np.int64)
+        order = np.lexsort((place[k], tag[k], doc[k], part))
+        k, part, first_part = k[order], part[order], (first >> shift).astype(np.int64)
+        for p in np.union1d(part, first_part):
+            a = slice(*np.searchsorted(part, [p, p + 1]))
+            b = slice(*np.searchsorted(first_part, [p, p + 1]))
+            own = k[a]
+            rows.append(
+                (int(p), len(own), _low_bytes(h[own], 5), _pack(doc[own]), _pack(tag[own]), _pack(place[own]))
+                + tuple(_pack(x[b]) for x in (first, low, high, total))
+            )
+        return pd.DataFrame(rows, columns=names)
+
+    names = ["part", "n", "h", "doc", "tag", "place", "known", "low", "high", "count"]
+    binary = ", ".join(f"{name} binary" for name in names[2:])
+    return docs.mapInPandas(emit, f"part long, n int, {binary}")
+
+
+def repeated_places(docs: DataFrame) -> DataFrame:
+    """(doc_id, tag, place, h, copies): all places whose anchor two documents hold, with copies 0, and each
+    anchor of more than ``HOT`` places, with place -1. Some places may be of anchors that one document holds.
+    """
+    bits = group_bits(docs)
 
     def meet(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        h, doc, tag, place = [], [], [], []
+        if key[0] < 0:
+            for batch in parts:
+                for row in batch.itertuples(index=False):
+                    h = _from_low_bytes(row.h, 6).view(np.int64)
+                    yield from shown(_unpack(row.doc), _unpack(row.tag), _unpack(row.place), h)
+            return
+        single, known = [], []
         for batch in parts:
             for row in batch.itertuples(index=False):
-                wide = np.zeros((row.n, 8), np.uint8)
-                wide[:, :7] = np.frombuffer(row.h, np.uint8).reshape(-1, 7)
-                h.append(wide.view(np.uint64).ravel())
-                doc.append(_unpack(row.doc))
-                tag.append(_unpack(row.tag))
-                place.append(_unpack(row.place))
-        h, doc, tag, place = (np.concatenate(x) for x in (h, doc, tag, place))
-        order = np.lexsort((doc, h))
-        h, doc = h[order], doc[order]
-        start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-        count = np.diff(np.append(start, len(h)))
-        low, high = np.repeat(doc[start], count), np.repeat(np.maximum.reduceat(doc, start), count)
-        keep = np.flatnonzero(low < high)
-        for at in range(0, len(keep), 100_000):
-            k = keep[at : at + 100_000]
-            yield pd.DataFrame(
-                {"doc_id": doc[k], "tag": tag[order[k]], "place": place[order[k]], "copies": np.repeat(count, count)[k]}
-            )
-
-    blobs = docs.mapInPandas(emit, "part int, n int, h binary, doc binary, tag binary, place binary")
-    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag long, place long, copies long")
+                single.append((_from_low_bytes(row.h, 5), _unpack(row.doc), _unpack(row.tag), _unpack(row.place)))
+                known.append(tuple(map(_unpack, (row.known, row.low, row.high, row.count))))
+        h, doc, tag, place = (np.concatenate(x) for x in zip(*single, strict=True))
+        top = U(key[0] >> (bits - PART_BITS) << (HASH_BITS - PART_BITS))
+        h = (h | top).view(np.int64)
+        first, low, high, count = (np.concatenate(x) for x in zip(*known, strict=True))
+        every, low, high = np.append(h, first), np.append(doc, low), np.append(doc, high)
+        if not len(every):
+            return
+        unique, group = np.unique(every, return_inverse=True)
+        order = np.argsort(group, kind="stable")
+        start = np.searchsorted(group[order], np.arange(len(unique)))
+        repeated = np.minimum.reduceat(low[order], start) < np.maximum.reduceat(high[order], start)
+        total = np.add.reduceat(np.append(np.ones(len(h), np.int64), count)[order], start)
+        k = np.flatnonzero(repeated[group[: len(h)]])
+        yield from shown(doc[k], tag[k], place[k], h[k])
+        hot = np.flatnonzero(total > HOT)
+        none = np.zeros(len(hot), np.int64)
+        yield pd.DataFrame({"doc_id": none, "tag": none, "place": none - 1, "h": unique[hot], "copies": total[hot]})
+
+    def shown(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, h: np.ndarray) -> Iterator[pd.DataFrame]:
+        for at in range(0, len(doc), 100_000):
+            k = slice(at, at + 100_000)
+            yield pd.DataFrame({"doc_id": doc[k], "tag": tag[k], "place": place[k], "h": h[k], "copies": 0})
+
+    blobs = packed_anchors(docs, bits)
+    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag long, place long, h long, copies long")
 
 
 def suffix_order(data: np.ndarray, n: int) -> np.ndarray:
@@ -248,7 +317,9 @@ def _pair(high: str, low: Column | str) -> Column:
 
 def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
     """(block, hot, doc_id, tag, start, piece): the bytes of the strings of each repeated anchor."""
-    lanes_of = F.ceil(F.col("copies") / HOT)
+    hot = places.where("place < 0").select("h", F.ceil(F.col("copies") / HOT).alias("lanes"))
+    places = places.where("place >= 0").join(hot, "h", "left")
+    lanes_of = F.coalesce("lanes", F.lit(1))
     listed = places.groupBy("doc_id", "tag").agg(F.collect_set(_pair("place", lanes_of)).alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

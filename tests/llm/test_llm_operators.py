@@ -441,3 +441,23 @@ def test_suffix_dedup_of_many_null_and_equal_ids(spark):
     rows += rows[-4:] * 5
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted((tuple(r) for r in suffix_dedup.report(df).collect()), key=str) == removal(rows)
+
+
+@pytest.mark.parametrize("null_ids", [False, True])
+def test_suffix_anchors_of_a_hot_passage_do_not_meet(spark, monkeypatch, null_ids):
+    """A passage of a third of all rows sends a summary for each batch; groups grow in number with the text."""
+    chance = random.Random(9)
+    passage = "".join(chance.choices("abcdefgh ", k=400))
+    rows = [(k, ("".join(chance.choices("ijklmnop ", k=100)) + (passage if k % 3 == 0 else ""))) for k in range(3000)]
+    df = spark.createDataFrame([(None if null_ids else k, t) for k, t in rows], "doc_id long, text string").coalesce(2)
+    keyed = df.select(F.coalesce("doc_id", F.lit(suffix_dedup.LAST_ID)).alias("doc_id"), "text", F.xxhash64("text").alias("tag"))
+    groups = suffix_dedup.packed_anchors(keyed, 8).where("part >= 0").groupBy("part").agg(F.sum("n").alias("n"))
+    assert groups.agg(F.max("n")).first()[0] < 200
+    assert suffix_dedup.group_bits(keyed) == 8
+    monkeypatch.setattr(suffix_dedup, "GROUP_BYTES", 100)
+    monkeypatch.setattr(suffix_dedup, "FLUSH", 500)
+    assert suffix_dedup.group_bits(keyed) >= 12
+    small = df.limit(300)
+    assert sorted((tuple(r) for r in suffix_dedup.report(small).collect()), key=str) == removal(
+        [tuple(r) for r in small.collect()]
+    )
