@@ -36,11 +36,11 @@ LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
 SEGMENT = 1 << 19
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 PART_BITS = 8
 HASH_BITS = 48
 GROUP_BYTES = 24_000_000
-FEW = 16
+FEW = 100
 HOT = 8_000
 BLOCK_PIECES = 8_000
 LAST_ID = 2**63 - 1
@@ -158,8 +158,16 @@ def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
         if held:
             yield packed(held)
 
+    def distinct(k: np.ndarray, *columns: np.ndarray) -> np.ndarray:
+        """Equal rows have equal places; each place travels once a batch."""
+        new = np.zeros(max(0, len(k) - 1), bool)
+        for x in columns:
+            new |= x[k[1:]] != x[k[:-1]]
+        return k[np.append(np.ones(min(1, len(k)), bool), new)]
+
     def packed(held: list) -> pd.DataFrame:
         h, doc, tag, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.argsort(h, kind="stable")
         start = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
         count = np.diff(np.append(start, len(h)))
@@ -168,17 +176,17 @@ def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
         first, low, high, total = h[order][start][known], low[known], high[known], count[known]
         is_known = np.zeros(len(h), bool)
         is_known[order] = np.repeat(known, count)
+        del order, start, count
         rows = []
         if len(first):
             k = np.flatnonzero(is_known)
-            k = k[np.lexsort((place[k], tag[k], doc[k]))]
+            k = distinct(k[np.lexsort((place[k], tag[k], doc[k]))], doc, tag, place)
             apart = -1 - int(_mix(h.sum(dtype=np.uint64)) >> U(2))
             rows.append((apart, len(k), _low_bytes(h[k], 6), _pack(doc[k]), _pack(tag[k]), _pack(place[k]), None, None, None, None))
         shift = U(HASH_BITS - bits)
         k = np.flatnonzero(~is_known)
-        part = (h[k] >> shift).astype(np.int64)
-        order = np.lexsort((place[k], tag[k], doc[k], part))
-        k, part, first_part = k[order], part[order], (first >> shift).astype(np.int64)
+        k = distinct(k[np.lexsort((place[k], tag[k], doc[k], h[k] >> shift))], doc, tag, place)
+        part, first_part = (h[k] >> shift).astype(np.int64), (first >> shift).astype(np.int64)
         for p in np.union1d(part, first_part):
             a = slice(*np.searchsorted(part, [p, p + 1]))
             b = slice(*np.searchsorted(first_part, [p, p + 1]))
@@ -310,7 +318,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
 
 def _pair(high: str, low: Column | str) -> Column:
-    """Two numbers below 2^31 as one, so that sets of pairs are sets of numbers."""
+    """Two numbers below 2^31 as one."""
     low = F.col(low) if isinstance(low, str) else low
     return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(low.cast("long"))
 
@@ -320,7 +328,7 @@ def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
     hot = places.where("place < 0").select("h", F.ceil(F.col("copies") / HOT).alias("lanes"))
     places = places.where("place >= 0").join(hot, "h", "left")
     lanes_of = F.coalesce("lanes", F.lit(1))
-    listed = places.groupBy("doc_id", "tag").agg(F.collect_set(_pair("place", lanes_of)).alias("places"))
+    listed = places.groupBy("doc_id", "tag").agg(F.collect_list(_pair("place", lanes_of)).alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, before = Hasher(), None
@@ -331,7 +339,7 @@ def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
                     continue
                 before = row.doc_id, row.tag
                 data = np.frombuffer(zstandard.decompress(row.data), np.uint8)
-                pairs = np.sort(np.asarray(row.places))
+                pairs = np.unique(np.asarray(row.places))
                 known, lanes_at = pairs >> 32, pairs & (2**32 - 1)
                 for at, part in segments(data):
                     h, place, first, last = anchors(hasher, part)
@@ -430,7 +438,7 @@ def dedupe(docs: DataFrame) -> DataFrame:
     places = staged(repeated_places(keyed), "places")
     blocks = max(1, places.count() // BLOCK_PIECES)
     runs = covered(pieces(packed_texts(keyed), places), blocks)
-    listed = runs.groupBy("doc_id", "tag").agg(F.collect_set(_pair("low", "high")).alias("runs"))
+    listed = runs.groupBy("doc_id", "tag").agg(F.collect_list(_pair("low", "high")).alias("runs"))
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -440,7 +448,7 @@ def dedupe(docs: DataFrame) -> DataFrame:
                     out.append((row.doc_id, row.n, [], row.digest))
                     continue
                 change = np.zeros(row.n + 1, np.int64)
-                pairs = np.asarray(row.runs)
+                pairs = np.unique(np.asarray(row.runs))
                 np.add.at(change, pairs >> 32, 1)
                 np.add.at(change, (pairs & (2**32 - 1)) + LENGTH, -1)
                 gone = np.cumsum(change[:-1]) > 0
