@@ -49,12 +49,20 @@ def test_dedupe(rows, local):
 
 
 def test_dedupe_against_history_with_a_hot_known_key(rows, local):
-    known = rows.filter("iid = -1").select(cleaning.content_key().alias("content_key"))
+    known = rows.filter("iid = -1").select(
+        cleaning.content_key().alias("content_key"), F.lit(-7).cast("long").alias("iid")
+    )
     got = cleaning.dedupe_against(rows, known).collect()
     titles = {row["title"] for row in local if row["iid"] != -1}
     assert sorted(r.title for r in got) == sorted(titles)
 
 
+def test_a_hot_known_key_keeps_its_owner(rows, local):
+    known = rows.filter("iid = -1").select(cleaning.content_key().alias("content_key"), "iid")
+    got = cleaning.dedupe_against(rows, known).collect()
+    assert sorted(r.title for r in got) == sorted({row["title"] for row in local})
+
+
 def test_latest(rows, local):
     best = {}
     for row in local:
