@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import echolot
-from echolot.session import scratch_path
+from echolot.session import remove_path, scratch_path
 
 # Functions of this package travel with the task, so executors need no copy of it.
 cloudpickle.register_pickle_by_value(echolot)
@@ -17,14 +19,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Frees the shuffle files of a write as soon as it is done.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows as a written table in the shared folder; later steps start from its files.
 
-    A lost executor then repeats work from files, and nothing upstream runs twice.
+    A lost executor then repeats work from files, and nothing upstream runs twice. The shuffle files
+    of the write go with it, since nobody reads them again.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    _paths[table] = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes staged tables after their last reader is itself a written table."""
+    for table in tables:
+        remove_path(table.sparkSession, _paths.pop(table))
 
 
 def text_or_empty(column: Column | str = "text") -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echolot.llm.common import staged
+from echolot.llm.common import discard, staged
 
 
 def _minimum(edges: DataFrame) -> DataFrame:
@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs the neighbours of a node on the smallest of them, by a join with per-node
     minima, so no neighbour list is ever gathered; the number of rounds grows with the logarithm
-    of the longest path. Each round is a written table.
+    of the longest path. Each round is a written table, and so is the result.
     """
     edges = staged(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -39,15 +39,22 @@ def components(links: DataFrame) -> DataFrame:
             .where("b > a")
             .select(F.col("b").alias("a"), F.col("low").alias("b"))
         )
-        edges = staged(large.where("a != b").distinct(), "large-star")
+        hung = staged(large.where("a != b").distinct(), "large-star")
+        discard(edges)
+        edges = hung
         low = _minimum(edges)
         small = edges.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
         small = small.unionByName(low.select("a", F.col("low").alias("b")))
-        edges = staged(
+        hung = staged(
             small.where("a != b")
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
             .distinct(),
             "small-star",
         )
+        discard(edges)
+        edges = hung
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    known = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    table = staged(known, "components")
+    discard(edges)
+    return table

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echolot.llm.common import staged
+from echolot.llm.common import discard, staged
 from echolot.llm.components import components
 
 SHINGLE = 3
@@ -47,7 +47,6 @@ SKETCH_BITS = 22
 SKETCH_BLOCK = 65536
 MAX_LEVEL = 24
 VERIFY_COST = 8.0
-PIVOT_ROUNDS = 1
 ANCHOR_LEAST = 16  # smaller groups are cheaper pair by pair
 ANCHOR_SPAN = 4  # differences that are kept, in multiples of what similar sets may differ by
 ANCHOR_TOKENS = 512
@@ -236,40 +235,44 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> Da
                 yield pd.DataFrame(rows, columns=["signature", "items"])
 
     found = hits.mapInPandas(sets, "signature binary, items array<long>")
-    return staged(
+    items = staged(
         wanted.join(found, "signature").groupBy("node").agg(F.any_value("items").alias("items")), "sets"
     )
+    discard(wanted)
+    return items
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
+    """The pairs (a, b) whose sets are similar, as a written table; ``pairs`` is a staged one that goes."""
     items = _sets(docs, nodes, pairs, width)
     both = F.size(F.array_intersect("items_a", "items_b"))
     either = F.size("items_a") + F.size("items_b") - both
     joined = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a").join(
         items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"
     )
-    return joined.where(100 * both >= percent * either).select("a", "b")
+    links = staged(joined.where(100 * both >= percent * either).select("a", "b"), "verified")
+    discard(items, pairs)
+    return links
 
 
 def _similar_sizes(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
-def _labelled(lists: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Postings with the component of their node, without lists that lie in one component."""
-    if known is None:
-        return lists.withColumn("component", F.col("node"))
+def _labelled(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """Postings with the component of their node, without lists that lie in one component; a written table."""
     lists = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lists = staged(lists, "labelled")
     mixed = lists.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return lists.join(mixed.where("lo < hi").select("token"), "token")
+    some = staged(lists.join(mixed.where("lo < hi").select("token"), "token"), "open-postings")
+    discard(lists)
+    return some
 
 
-def _pivot_pairs(lists: DataFrame, turn: int, percent: int) -> DataFrame:
+def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """For each node the pivot that it meets in most lists; a list's pivot is its smallest node in
-    an order that changes from round to round."""
-    order = F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), "node", "n", "component")
+    an order by hash."""
+    order = F.struct(F.xxhash64(F.lit(0), "node").alias("o"), "node", "n", "component")
     pivots = lists.groupBy("token").agg(F.min(order).alias("p"))
     met = lists.join(pivots, "token").where(
         (F.col("p.component") != F.col("component")) & _similar_sizes("n", "p.n", percent)
@@ -289,7 +292,9 @@ def _anchors(lists: DataFrame, percent: int) -> DataFrame:
     met = staged(met.select("node", F.col("p.node").alias("pivot")).distinct(), "met")
     popular = met.groupBy("pivot").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ANCHOR_LEAST)
     best = met.join(popular, "pivot").groupBy("node").agg(F.max(F.struct("k", "pivot")).alias("best"))
-    return staged(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "anchors")
+    anchors = staged(best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b")), "anchors")
+    discard(met)
+    return anchors
 
 
 def _differences(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
@@ -311,11 +316,13 @@ def _differences(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: i
     )
     apart, allowed = (100 + percent) * F.size("d"), (100 - percent) * (F.col("n") + F.col("anchor_n"))
     near = (apart <= ANCHOR_SPAN * allowed) & (F.size("d") <= ANCHOR_TOKENS)
-    return staged(rows.where(near).withColumn("outside", apart > allowed), "differences")
+    found = staged(rows.where(near).withColumn("outside", apart > allowed), "differences")
+    discard(items, anchors)
+    return found
 
 
 def _anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of nodes that have an anchor in common.
+    """Links between different components of nodes that have an anchor in common; a written table.
 
     Sets differ by what only one of them differs from the anchor in. One end of such a link is
     outside, which bounds from below how much the other's differences share with it.
@@ -330,6 +337,7 @@ def _anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> D
     mixed = posts.groupBy("anchor", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     posts = posts.join(mixed.where("lo < hi").select("anchor", "token"), ["anchor", "token"])
     posts = staged(posts.join(rows.select("node", "n", "d"), "node"), "anchored-postings")
+    discard(rows)
     a, b = posts.where("outside").alias("a"), posts.where("at < prefix").alias("b")
     apart = F.size("a.d") + F.size("b.d") - 2 * F.size(F.array_intersect("a.d", "b.d"))
     earlier = [F.slice(f"{x}.d", F.lit(1), F.col(f"{x}.at")) for x in "ab"]
@@ -341,24 +349,28 @@ def _anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> D
         & ~F.arrays_overlap(*earlier)
         & (scale * apart <= slack * (F.col("a.n") + F.col("b.n")))
     )
-    return a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    links = staged(a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "anchored-links")
+    discard(posts)
+    return links
 
 
 def _remaining_pairs(lists: DataFrame, nodes: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components and anchors that share enough of their prefixes, each made once.
+    """All pairs of different components and anchors that share enough of their prefixes, each made once,
+    as a written table.
 
     A pair is made at the first shingle that its two prefixes share, and only if they share as many
     as the smaller of their levels asks for.
     """
     anchor = differences.select("node", (-F.col("anchor") - 1).alias("anchor"))
     lists = lists.join(anchor, "node", "left").withColumn("class", F.coalesce("anchor", "component"))
-    lists = staged(lists.drop("anchor"), "classed")
-    sizes = lists.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k"))
+    classed = staged(lists.drop("anchor"), "classed")
+    sizes = classed.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(
         F.max(F.struct("k", "class"))["class"].alias("main"), F.count(F.lit(1)).alias("classes")
     )
-    lists = lists.join(largest.where("classes > 1").drop("classes"), "token").join(nodes.select("node", "prefix"), "node")
+    lists = classed.join(largest.where("classes > 1").drop("classes"), "token").join(nodes.select("node", "prefix"), "node")
     lists = staged(lists, "lists")
+    discard(classed)
     a, b = lists.where("class != main").alias("a"), lists.alias("b")
     need = F.least("a.level", "b.level")
     before = [F.slice(f"{x}.prefix", F.lit(1), F.array_position(f"{x}.prefix", F.col("a.token")).cast("int") - 1) for x in "ab"]
@@ -372,9 +384,10 @@ def _remaining_pairs(lists: DataFrame, nodes: DataFrame, differences: DataFrame,
         & ~F.arrays_overlap(*before)
         & (F.size(F.array_intersect(*asked)) >= need)
     )
-    return a.join(b, meets).select(
-        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
-    )
+    ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
+    pairs = staged(a.join(b, meets).select(*ends), "pairs")
+    discard(lists)
+    return pairs
 
 
 def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -383,12 +396,14 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     ``component`` numbers the classes of linked rows and is null for rows without shingles.
     """
     docs = docs.select("doc_id", "text")
-    rows = staged(prefixes(docs, width, percent), "prefixes")
-    first = rows.where("n > 0").groupBy("signature").agg(
+    whole = staged(prefixes(docs, width, percent), "prefixes")
+    first = whole.where("n > 0").groupBy("signature").agg(
         F.min("doc_id").alias("low"), F.min("text_hash").alias("text_hash"), F.any_value("n").alias("n"),
         F.any_value("level").alias("level"), F.any_value("prefix").alias("prefix"),
     )
     nodes = staged(first.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    rows = staged(whole.select("doc_id", "text_hash", "signature", "n"), "rows")
+    discard(whole)
 
     base = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
     postings = nodes.select("node", "n", "level", base.alias("base"), F.explode("prefix").alias("token"))
@@ -396,23 +411,24 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     lists = staged(postings.join(shared, "token"), "postings")
 
-    links = known = None
-    for turn in range(PIVOT_ROUNDS):
-        pairs = _pivot_pairs(staged(_labelled(lists, known), "open-postings"), turn, percent)
-        new = verified(docs, nodes, staged(pairs, "pairs"), width, percent)
-        links = staged(new if links is None else links.unionByName(new), "links")
-        known = components(links)
+    pairs = staged(_pivot_pairs(lists.withColumn("component", F.col("node")), percent), "pairs")
+    links = verified(docs, nodes, pairs, width, percent)
+    known = components(links)
 
-    anchors = _anchors(staged(_labelled(lists, known), "open-postings"), percent)
+    labelled = _labelled(lists, known)
+    anchors = _anchors(labelled, percent)
     differences = _differences(docs, nodes, anchors, width, percent)
+    discard(labelled, known)
     near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
-    links = staged(links.unionByName(near), "links")
+    links = links.unionByName(near)
     known = components(links)
-    links = staged(links.unionByName(_anchored_links(differences, known, percent)), "links")
+    links = links.unionByName(_anchored_links(differences, known, percent))
 
-    labelled = staged(_labelled(lists, known), "open-postings")
-    pairs = staged(_remaining_pairs(labelled, nodes, differences, percent), "pairs")
-    links = staged(links.unionByName(verified(docs, nodes, pairs, width, percent)), "links")
+    labelled = _labelled(lists, known)
+    discard(lists, known)
+    pairs = _remaining_pairs(labelled, nodes, differences, percent)
+    discard(labelled)
+    links = links.unionByName(verified(docs, nodes, pairs, width, percent))
 
     known = components(links)
     member = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
