@@ -64,7 +64,7 @@ class Shingler:
 
     def __init__(self, width: int) -> None:
         self.width = width
-        self.values = _mixed(np.arange(1, 257, dtype=np.uint64))
+        self.values = mixed(np.arange(1, 257, dtype=np.uint64))
         self.powers = self.backward = np.empty(0, np.uint64)
         self.blank = np.zeros(256, np.int8)
         self.blank[[32, *range(9, 14)]] = 1
@@ -82,15 +82,15 @@ class Shingler:
             )
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * self.powers[: len(data)], out=sums[1:])
-        h = _mixed((sums[end] - sums[start]) * self.backward[start])
+        h = mixed((sums[end] - sums[start]) * self.backward[start])
         n = max(1, len(h) - self.width + 1)
         out = np.zeros(n, np.uint64)
         for k in range(min(self.width, len(h))):
-            out = _mixed(out + h[k : k + n])
+            out = mixed(out + h[k : k + n])
         return np.unique(out)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(BASE)
     return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
@@ -196,7 +196,7 @@ def _bit(column: str) -> tuple:
     return F.floor(slot / FILTER_BITS), slot % FILTER_BITS
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """(node, items) for both ends of the pairs (a, b). Only their texts are cut into shingles again.
 
     A bitmap of fixed size tells which texts may be wanted; it saves work and decides nothing.
@@ -244,7 +244,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> Da
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, as a written table; ``pairs`` is a staged one that goes."""
-    items = _sets(docs, nodes, pairs, width)
+    items = sets_of(docs, nodes, pairs, width)
     both = F.size(F.array_intersect("items_a", "items_b"))
     either = F.size("items_a") + F.size("items_b") - both
     joined = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a").join(
@@ -255,11 +255,11 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, pe
     return links
 
 
-def _similar_sizes(a: str, b: str, percent: int):
+def similar_sizes(a: str, b: str, percent: int):
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
-def _labelled(lists: DataFrame, known: DataFrame) -> DataFrame:
+def labelled_lists(lists: DataFrame, known: DataFrame) -> DataFrame:
     """Postings with the component of their node, without lists that lie in one component; a written table."""
     lists = lists.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lists = staged(lists, "labelled")
@@ -269,25 +269,25 @@ def _labelled(lists: DataFrame, known: DataFrame) -> DataFrame:
     return some
 
 
-def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
+def pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """For each node the pivot that it meets in most lists; a list's pivot is its smallest node in
     an order by hash."""
     order = F.struct(F.xxhash64(F.lit(0), "node").alias("o"), "node", "n", "component")
     pivots = lists.groupBy("token").agg(F.min(order).alias("p"))
     met = lists.join(pivots, "token").where(
-        (F.col("p.component") != F.col("component")) & _similar_sizes("n", "p.n", percent)
+        (F.col("p.component") != F.col("component")) & similar_sizes("n", "p.n", percent)
     )
     met = met.groupBy("node", F.col("p.node").alias("pivot")).agg(F.count(F.lit(1)).alias("met"))
     best = met.groupBy("node").agg(F.max(F.struct("met", "pivot")).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
 
 
-def _anchors(lists: DataFrame, percent: int) -> DataFrame:
+def nearest_anchors(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b): for nodes that meet a pivot of many nodes, the pivot of the most nodes."""
     order = F.struct(F.xxhash64(F.lit("anchor"), "node").alias("o"), "node", "n")
     pivots = lists.groupBy("token").agg(F.min(order).alias("p"))
     met = lists.join(pivots, "token").where(
-        (F.col("p.node") != F.col("node")) & _similar_sizes("n", "p.n", 2 * percent - 100)
+        (F.col("p.node") != F.col("node")) & similar_sizes("n", "p.n", 2 * percent - 100)
     )
     met = staged(met.select("node", F.col("p.node").alias("pivot")).distinct(), "met")
     popular = met.groupBy("pivot").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= ANCHOR_LEAST)
@@ -297,13 +297,13 @@ def _anchors(lists: DataFrame, percent: int) -> DataFrame:
     return anchors
 
 
-def _differences(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
+def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
     """(node, anchor, n, anchor_n, d, outside): ``d`` holds what only one of the node and its anchor has,
     what the anchor lacks first; ``outside`` nodes are not similar to their anchor.
 
     Nodes that differ by much from their anchor are left out.
     """
-    items = _sets(docs, nodes, anchors, width)
+    items = sets_of(docs, nodes, anchors, width)
     own = items.select(F.col("node").alias("a"), "items")
     of_anchor = items.select(F.col("node").alias("b"), F.col("items").alias("anchor_items"))
     added, gone = F.array_except("items", "anchor_items"), F.array_except("anchor_items", "items")
@@ -321,7 +321,7 @@ def _differences(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: i
     return found
 
 
-def _anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Links between different components of nodes that have an anchor in common; a written table.
 
     Sets differ by what only one of them differs from the anchor in. One end of such a link is
@@ -380,7 +380,7 @@ def _remaining_pairs(lists: DataFrame, nodes: DataFrame, differences: DataFrame,
         & (F.col("a.class") != F.col("b.class"))
         & (F.col("a.component") != F.col("b.component"))
         & ((F.col("b.class") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
-        & _similar_sizes("a.n", "b.n", percent)
+        & similar_sizes("a.n", "b.n", percent)
         & ~F.arrays_overlap(*before)
         & (F.size(F.array_intersect(*asked)) >= need)
     )
@@ -411,25 +411,31 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     lists = staged(postings.join(shared, "token"), "postings")
 
-    pairs = staged(_pivot_pairs(lists.withColumn("component", F.col("node")), percent), "pairs")
+    pairs = staged(pivot_pairs(lists.withColumn("component", F.col("node")), percent), "pairs")
     links = verified(docs, nodes, pairs, width, percent)
     known = components(links)
 
-    labelled = _labelled(lists, known)
-    anchors = _anchors(labelled, percent)
-    differences = _differences(docs, nodes, anchors, width, percent)
+    labelled = labelled_lists(lists, known)
+    anchors = nearest_anchors(labelled, percent)
+    differences = differences_to(docs, nodes, anchors, width, percent)
     discard(labelled, known)
     near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
     links = links.unionByName(near)
     known = components(links)
-    links = links.unionByName(_anchored_links(differences, known, percent))
+    links = links.unionByName(anchored_links(differences, known, percent))
 
-    labelled = _labelled(lists, known)
+    labelled = labelled_lists(lists, known)
     discard(lists, known)
     pairs = _remaining_pairs(labelled, nodes, differences, percent)
     discard(labelled)
     links = links.unionByName(verified(docs, nodes, pairs, width, percent))
 
+    return classes(rows, nodes, links)
+
+
+def classes(rows: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component, component_id) of rows with a signature, whose sets are
+    nodes, from the links of the nodes."""
     known = components(links)
     member = nodes.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = member.select("signature", "low", "component")

@@ -13,6 +13,7 @@ from echolot.llm import (
     credentials,
     language_mixture,
     license_templates,
+    minmax_dedup,
     mixing,
     ngram_join,
     suffix_dedup,
@@ -88,6 +89,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.dedupe(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -101,5 +106,6 @@ QUERIES: dict[str, Query] = {
         op8_bitsliced_topk,
         op9_credentials,
         op10_toxicity,
+        op12_minmax_dedup,
     )
 }
