@@ -18,6 +18,7 @@ from echolot.llm import (
     ngram_join,
     suffix_dedup,
     toxicity,
+    whitening,
     winnowing,
 )
 from echolot.llm.common import table
@@ -89,6 +90,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_jacobi_davidson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.dedupe(table(spark, sf_dir, "documents"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Query] = {
         op8_bitsliced_topk,
         op9_credentials,
         op10_toxicity,
+        op11_jacobi_davidson,
         op12_minmax_dedup,
     )
 }
