@@ -11,6 +11,7 @@ from echolot.llm import (
     bitsliced,
     bpe_stream,
     credentials,
+    dialogue_repair,
     language_mixture,
     license_templates,
     minmax_dedup,
@@ -98,6 +99,10 @@ def op12_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.dedupe(table(spark, sf_dir, "documents"))
 
 
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue_repair.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -113,5 +118,6 @@ QUERIES: dict[str, Query] = {
         op10_toxicity,
         op11_jacobi_davidson,
         op12_minmax_dedup,
+        op13_dialogue_repair,
     )
 }
