@@ -43,7 +43,7 @@ FOLLOWS = {(START, "s"): SYSTEM, (START, "u"): USER, (SYSTEM, "u"): USER, (USER,
 WANTED = (USER, USER, ASSISTANT, USER)  # the state that an inserted or reroled row leads to
 ROLE = {USER: "user", ASSISTANT: "assistant"}
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
-SEGMENT = 48
+SEGMENT = 16
 LONG = 2_000
 LONG_CHARS = 4_000_000
 CHUNK = 4_000
@@ -160,12 +160,20 @@ def least(values) -> int | None:
     return min((x for x in values if x is not None), default=None)
 
 
+def leads(steps: list[Step], a: int, b: int) -> bool:
+    """Whether some edits of the rows lead from a state to another: the two first states are left for good."""
+    if (a, b) == (START, SYSTEM):
+        return any(step.initial == "s" and not step.must_go for step in steps)
+    return a == b or b >= USER
+
+
 def costs(steps: list[Step]) -> list[list]:
     """Least costs from each state before the rows to each state behind them; None where there is no way."""
     table: list[list] = [[0 if a == b else None for b in STATES] for a in STATES]
     for at in range(0, len(steps), SEGMENT):
-        part = [Auction(steps[at : at + SEGMENT], tuple(0 if s == b else None for s in STATES)) for b in STATES]
-        own = [[part[b].cost(a) for b in STATES] for a in STATES]
+        part = steps[at : at + SEGMENT]
+        runs = [Auction(part, tuple(0 if s == b else None for s in STATES)) for b in STATES]
+        own = [[runs[b].cost(a) if leads(part, a, b) else None for b in STATES] for a in STATES]
         table = [[least(plus(table[a][k], own[k][b]) for k in STATES) for b in STATES] for a in STATES]
     return table
 

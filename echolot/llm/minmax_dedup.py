@@ -2,8 +2,8 @@
 
 Each permutation of the shingle hashes gives two values of a set, its minimum and its maximum, so
 ``BANDS * ROWS`` permutations make a signature of twice as many values. Minimum and maximum of two sets
-each agree with the probability of their Jaccard similarity J, and since they are never the same shingle
-(but in sets of one) their agreements vary together less than those of independent permutations.
+each agree with the probability of their Jaccard similarity J, so half as many permutations are evaluated
+for as many values; the estimate from all of them is unbiased.
 A band is the two values of ``ROWS`` permutations; sets that agree in a band are candidates. Of pairs
 with J = 0.8 the bands miss (1 - 0.8^6)^48, one in two million; of more similar pairs far fewer.
 
