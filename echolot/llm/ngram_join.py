@@ -354,39 +354,36 @@ def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> Da
     return links
 
 
-def _remaining_pairs(lists: DataFrame, nodes: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components and anchors that share enough of their prefixes, each made once,
+def _remaining_pairs(lists: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components and anchors that share enough of their prefixes, each once,
     as a written table.
 
-    A pair is made at the first shingle that its two prefixes share, and only if they share as many
-    as the smaller of their levels asks for.
+    Postings carry their place in the prefix instead of the prefix; a pair counts the shingles that both
+    prefixes hold up to the length that the smaller of its levels asks for.
     """
     anchor = differences.select("node", (-F.col("anchor") - 1).alias("anchor"))
-    lists = lists.join(anchor, "node", "left").withColumn("class", F.coalesce("anchor", "component"))
-    classed = staged(lists.drop("anchor"), "classed")
+    classed = lists.join(anchor, "node", "left").withColumn("class", F.coalesce("anchor", "component"))
+    classed = staged(classed.drop("anchor"), "classed")
     sizes = classed.groupBy("token", "class").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(
         F.max(F.struct("k", "class"))["class"].alias("main"), F.count(F.lit(1)).alias("classes")
     )
-    lists = classed.join(largest.where("classes > 1").drop("classes"), "token").join(nodes.select("node", "prefix"), "node")
-    lists = staged(lists, "lists")
-    discard(classed)
-    a, b = lists.where("class != main").alias("a"), lists.alias("b")
+    some = staged(classed.join(largest.where("classes > 1").drop("classes"), "token"), "lists")
+    a, b = some.where("class != main").alias("a"), some.alias("b")
     need = F.least("a.level", "b.level")
-    before = [F.slice(f"{x}.prefix", F.lit(1), F.array_position(f"{x}.prefix", F.col("a.token")).cast("int") - 1) for x in "ab"]
-    asked = [F.slice(f"{x}.prefix", F.lit(1), (F.col(f"{x}.base") + need).cast("int")) for x in "ab"]
     meets = (
         (F.col("a.token") == F.col("b.token"))
         & (F.col("a.class") != F.col("b.class"))
         & (F.col("a.component") != F.col("b.component"))
         & ((F.col("b.class") == F.col("b.main")) | (F.col("a.node") < F.col("b.node")))
         & similar_sizes("a.n", "b.n", percent)
-        & ~F.arrays_overlap(*before)
-        & (F.size(F.array_intersect(*asked)) >= need)
+        & (F.col("a.at") < F.col("a.base") + need)
+        & (F.col("b.at") < F.col("b.base") + need)
     )
     ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
-    pairs = staged(a.join(b, meets).select(*ends), "pairs")
-    discard(lists)
+    shared = a.join(b, meets).select(*ends, need.alias("need")).groupBy("a", "b", "need").count()
+    pairs = staged(shared.where("count >= need").select("a", "b"), "pairs")
+    discard(classed, some)
     return pairs
 
 
@@ -406,10 +403,12 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     discard(whole)
 
     base = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100)
-    postings = nodes.select("node", "n", "level", base.alias("base"), F.explode("prefix").alias("token"))
-    postings = postings.select("token", "node", "n", "level", "base")
+    postings = nodes.select("node", "n", "level", base.alias("base"), F.posexplode("prefix").alias("at", "token"))
     shared = postings.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
     lists = staged(postings.join(shared, "token"), "postings")
+    narrow = staged(nodes.select("node", "signature", "low", "text_hash"), "node-keys")
+    discard(nodes)
+    nodes = narrow
 
     pairs = staged(pivot_pairs(lists.withColumn("component", F.col("node")), percent), "pairs")
     links = verified(docs, nodes, pairs, width, percent)
@@ -426,7 +425,7 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     labelled = labelled_lists(lists, known)
     discard(lists, known)
-    pairs = _remaining_pairs(labelled, nodes, differences, percent)
+    pairs = _remaining_pairs(labelled, differences, percent)
     discard(labelled)
     links = links.unionByName(verified(docs, nodes, pairs, width, percent))
 

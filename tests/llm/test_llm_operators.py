@@ -461,3 +461,29 @@ def test_suffix_anchors_of_a_hot_passage_do_not_meet(spark, monkeypatch, null_id
     assert sorted((tuple(r) for r in suffix_dedup.report(small).collect()), key=str) == removal(
         [tuple(r) for r in small.collect()]
     )
+
+
+def test_ngram_join_of_a_shingle_that_a_third_of_all_rows_share(spark):
+    """The common phrase makes no pairs; the joins keep bounded to what similar texts need."""
+    draw = random.Random(8)
+    rows = []
+    for i in range(600):
+        words = [f"w{draw.randrange(5000)}" for _ in range(40)]
+        if i % 3 == 0:
+            words[5:9] = "all rights are reserved".split()
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[3 * i][1] + " tail") for i in range(20)]
+    lists_made = []
+    made = ngram_join._remaining_pairs
+
+    def counted(lists, differences, percent):
+        pairs = made(lists, differences, percent)
+        lists_made.append(pairs.count())
+        return pairs
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ngram_join, "_remaining_pairs", counted)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_documents(df, 3, 90).collect()}
+    assert got == classes(dict(rows), 3, 90)
+    assert lists_made[0] <= len(rows)
