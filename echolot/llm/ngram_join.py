@@ -30,7 +30,7 @@ fall together; rows with a null ``doc_id`` take part but don't count for the sma
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,6 +53,7 @@ ANCHOR_TOKENS = 512
 FILTER_BLOCKS = 256
 FILTER_BITS = 32768
 MEMO = 500_000
+SET_BYTES = 32_000_000
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -196,10 +197,12 @@ def _bit(column: str) -> tuple:
     return F.floor(slot / FILTER_BITS), slot % FILTER_BITS
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """(node, items) for both ends of the pairs (a, b). Only their texts are cut into shingles again.
+def texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, signature, packed) for both ends of the pairs (a, b): a text of the node, compressed, which moves
+    at a third of what its shingles take. A written table.
 
-    A bitmap of fixed size tells which texts may be wanted; it saves work and decides nothing.
+    A bitmap of fixed size tells which texts may be wanted; it saves work and decides nothing. Texts whose
+    hash is that of a wanted one come along; their shingles have another signature.
     """
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     wanted = staged(nodes.join(ends.distinct(), "node").select("node", "signature", "text_hash"), "wanted")
@@ -216,43 +219,84 @@ def sets_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
         .select("text_hash", "text")
     )
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, seen = Shingler(width), set()
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             rows = []
             for key, text in zip(batch["text_hash"], batch["text"], strict=True):
-                if key in seen:
+                raw = text.encode("utf-8", "surrogatepass")
+                own = hashlib.md5(raw).digest()
+                if own in seen:
                     continue
                 if len(seen) > MEMO:
                     seen.clear()
-                seen.add(key)
-                h = shingles(text)
-                rows.append((hashlib.md5(h.tobytes()).digest(), h.astype(np.int64)))
-                if len(rows) >= 200:
-                    yield pd.DataFrame(rows, columns=["signature", "items"])
-                    rows = []
-            if rows:
-                yield pd.DataFrame(rows, columns=["signature", "items"])
-
-    found = hits.mapInPandas(sets, "signature binary, items array<long>")
-    items = staged(
-        wanted.join(found, "signature").groupBy("node").agg(F.any_value("items").alias("items")), "sets"
-    )
+                seen.add(own)
+                rows.append((key, own, zstandard.compress(raw, 3)))
+            yield pd.DataFrame(rows, columns=["text_hash", "text_id", "packed"])
+
+    found = hits.mapInPandas(pack, "text_hash long, text_id binary, packed binary")
+    one = wanted.join(found, "text_hash").groupBy("text_hash", "text_id", "node", "signature")
+    texts = staged(one.agg(F.any_value("packed").alias("packed")).select("node", "signature", "packed"), "texts")
     discard(wanted)
-    return items
+    return texts
+
+
+class SetMemo:
+    """Shingle sets of packed texts; those of the last texts are kept within ``SET_BYTES``."""
+
+    def __init__(self, width: int) -> None:
+        self.shingles, self.known, self.held = Shingler(width), {}, 0
+
+    def __call__(self, signature: bytes, packed: bytes) -> np.ndarray | None:
+        """The set, or None where it is not the one that the signature names."""
+        found = self.known.get(signature)
+        if found is None:
+            h = self.shingles(zstandard.decompress(packed).decode("utf-8", "surrogatepass"))
+            if hashlib.md5(h.tobytes()).digest() != signature:
+                return None
+            if self.held > SET_BYTES:
+                self.known.clear()
+                self.held = 0
+            self.known[signature] = found = h
+            self.held += h.nbytes
+        return found
+
+
+def _both_sets(
+    docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, schema: str,
+    row_of: Callable[[int, int, np.ndarray, np.ndarray], tuple | None], name: str,
+) -> DataFrame:
+    """A written table of ``row_of`` each pair and its two sets, without its Nones; ``pairs`` is staged and goes."""
+    texts = texts_of(docs, nodes, pairs)
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = SetMemo(width)
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                own, other = sets(row.signature_a, row.packed_a), sets(row.signature_b, row.packed_b)
+                made = None if own is None or other is None else row_of(row.a, row.b, own, other)
+                if made is not None:
+                    rows.append(made)
+            yield pd.DataFrame(rows, columns=names)
+
+    def end(x: str) -> DataFrame:
+        return texts.select(F.col("node").alias(x), F.col("signature").alias(f"signature_{x}"), F.col("packed").alias(f"packed_{x}"))
+
+    made = staged(pairs.join(end("a"), "a").join(end("b"), "b").mapInPandas(run, schema), name)
+    discard(texts, pairs)
+    return made
 
 
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar, as a written table; ``pairs`` is a staged one that goes."""
-    items = sets_of(docs, nodes, pairs, width)
-    both = F.size(F.array_intersect("items_a", "items_b"))
-    either = F.size("items_a") + F.size("items_b") - both
-    joined = pairs.join(items.select(F.col("node").alias("a"), F.col("items").alias("items_a")), "a").join(
-        items.select(F.col("node").alias("b"), F.col("items").alias("items_b")), "b"
-    )
-    links = staged(joined.where(100 * both >= percent * either).select("a", "b"), "verified")
-    discard(items, pairs)
-    return links
+
+    def link(a: int, b: int, own: np.ndarray, other: np.ndarray) -> tuple | None:
+        both = len(np.intersect1d(own, other, assume_unique=True))
+        return (a, b) if 100 * both >= percent * (len(own) + len(other) - both) else None
+
+    return _both_sets(docs, nodes, pairs, width, "a long, b long", link, "verified")
 
 
 def similar_sizes(a: str, b: str, percent: int):
@@ -303,22 +347,18 @@ def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width:
 
     Nodes that differ by much from their anchor are left out.
     """
-    items = sets_of(docs, nodes, anchors, width)
-    own = items.select(F.col("node").alias("a"), "items")
-    of_anchor = items.select(F.col("node").alias("b"), F.col("items").alias("anchor_items"))
-    added, gone = F.array_except("items", "anchor_items"), F.array_except("anchor_items", "items")
-    rows = anchors.join(own, "a").join(of_anchor, "b").select(
-        F.col("a").alias("node"),
-        F.col("b").alias("anchor"),
-        F.size("items").alias("n"),
-        F.size("anchor_items").alias("anchor_n"),
-        F.concat(F.array_sort(added), F.array_sort(gone)).alias("d"),
-    )
-    apart, allowed = (100 + percent) * F.size("d"), (100 - percent) * (F.col("n") + F.col("anchor_n"))
-    near = (apart <= ANCHOR_SPAN * allowed) & (F.size("d") <= ANCHOR_TOKENS)
-    found = staged(rows.where(near).withColumn("outside", apart > allowed), "differences")
-    discard(items, anchors)
-    return found
+
+    def difference(a: int, b: int, own: np.ndarray, other: np.ndarray) -> tuple | None:
+        added = np.setdiff1d(own, other, assume_unique=True)
+        gone = np.setdiff1d(other, own, assume_unique=True)
+        size = len(added) + len(gone)
+        apart, allowed = (100 + percent) * size, (100 - percent) * (len(own) + len(other))
+        if apart > ANCHOR_SPAN * allowed or size > ANCHOR_TOKENS:
+            return None
+        return a, b, len(own), len(other), np.concatenate([added, gone]).astype(np.int64), apart > allowed
+
+    schema = "node long, anchor long, n int, anchor_n int, d array<long>, outside boolean"
+    return _both_sets(docs, nodes, anchors, width, schema, difference, "differences")
 
 
 def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:

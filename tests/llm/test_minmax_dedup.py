@@ -7,10 +7,9 @@ import random
 import numpy as np
 import pytest
 
-from echolot.llm import minmax_dedup
+from echolot.llm import common, minmax_dedup
 from echolot.llm.ngram_join import Shingler
 from echolot.llm.queries import QUERIES
-from echolot.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
 BLANK = " \t\n\v\f\r"
@@ -104,17 +103,16 @@ def test_likeness_is_unbiased_and_varies_like_as_many_minima():
     assert np.std(errors) < 1.2 * independent
 
 
-def test_written_stages_go_when_they_were_read(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert scratch_path(spark, "x").startswith(str(tmp_path))
-        rows = [(i, f"same words in {i % 7} groups of rows here") for i in range(50)]
-        minmax_dedup.dedupe(spark.createDataFrame(rows, "doc_id long, text string")).count()
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
-    names = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "echolot").iterdir()}
-    assert not names & {"bands", "banded-nodes", "postings", "labelled", "open-postings", "wanted", "sets", "pairs"}
+def test_written_stages_go_when_they_were_read(spark, tmp_path, monkeypatch):
+    made = []
+
+    def path(spark, name):
+        made.append(name)
+        return f"{tmp_path}/{name}-{len(made)}"
+
+    monkeypatch.setattr(common, "scratch_path", path)
+    rows = [(i, f"same words in {i % 7} groups of rows here") for i in range(50)]
+    assert minmax_dedup.dedupe(spark.createDataFrame(rows, "doc_id long, text string")).count() == 50
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+    assert {"bands", "postings", "texts"} <= set(made)
+    assert not left & {"bands", "banded-nodes", "postings", "labelled", "open-postings", "wanted", "texts", "pairs"}
