@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -95,8 +96,9 @@ STARTER_LEXICON = {
 
 
 def rules_from_vocabulary(labels: Sequence[str]) -> tuple[tuple[str, str], ...]:
-    """One rule per single-word label: the label is given where its own word occurs."""
-    return tuple((label, label.lower()) for label in labels if label.isalpha())
+    """One rule per label: the label is given where its own words stand one after another."""
+    phrases = ((label, " ".join(re.findall(r"[^\W\d_]+", label.lower()))) for label in labels)
+    return tuple((label, phrase) for label, phrase in phrases if phrase)
 
 
 @dataclass(frozen=True)

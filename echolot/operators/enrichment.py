@@ -121,11 +121,13 @@ def broadcast_if_small(
     max_rows: int = BROADCAST_TERM_ROWS,
     max_bytes: int = BROADCAST_TERM_BYTES,
 ) -> DataFrame:
-    """Mark a term table for broadcast after measuring it; a larger one stays as it is."""
-    bounded = terms.limit(max_rows + 1)
-    size = bounded.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length("tok")), F.lit(0)).alias("bytes"),
+    """Mark a term table for broadcast after measuring all its rows and columns; a larger one stays as it is."""
+    width = sum(
+        (F.coalesce(F.octet_length(name), F.lit(0)) if kind == "string" else F.lit(8) for name, kind in terms.dtypes),
+        F.lit(0),
+    )
+    size = terms.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
     small = size.rows <= max_rows and size.bytes <= max_bytes
     return F.broadcast(terms) if small else terms
@@ -135,13 +137,32 @@ def _matched_terms(df: DataFrame, terms: DataFrame, text: str, key: str) -> Data
     """One row per occurrence of a term: row key, text key and the term's columns.
 
     A term table of a checked size is broadcast, so the exploded tokens never move. A
-    larger one is joined by shuffle, and AQE splits the frequent words.
+    larger one is joined by shuffle, and AQE splits the frequent words. Phrases meet the text at
+    their first word, with as many tokens behind it as the longest of them has.
     """
-    words = _with_text_key(df.select(key, text), text).select(
-        key, _TEXT_KEY, F.explode(tokens(F.col(text))).alias("tok")
-    )
     terms = terms.withColumn("tok", checked_term(F.col("tok")))
-    return words.join(broadcast_if_small(terms), "tok")
+    blanks = F.length("tok") - F.length(F.replace("tok", F.lit(" "), F.lit("")))
+    longest = (terms.agg(F.max(blanks)).first()[0] or 0) + 1
+    keyed = _with_text_key(df.select(key, text), text)
+    terms = broadcast_if_small(terms)
+    if longest == 1:
+        words = keyed.select(key, _TEXT_KEY, F.explode(tokens(F.col(text))).alias("tok"))
+        return words.join(terms, "tok")
+    ahead = F.element_at(
+        F.transform(
+            F.array(tokens(F.col(text))),
+            lambda words: F.transform(
+                F.sequence(F.lit(1), F.size(words)),
+                lambda at: F.concat(F.array_join(F.slice(words, at, longest), " "), F.lit(" ")),
+            ),
+        ),
+        1,
+    )
+    windows = keyed.where(F.col(text).isNotNull()).select(key, _TEXT_KEY, F.explode(ahead).alias("_ahead"))
+    first = F.substring_index("_ahead", " ", 1)
+    terms = terms.withColumn("_first", F.substring_index("tok", " ", 1))
+    meets = (first == F.col("_first")) & F.col("_ahead").startswith(F.concat("tok", F.lit(" ")))
+    return windows.join(terms, meets).drop("_ahead", "_first")
 
 
 def _join_back(df: DataFrame, values: DataFrame, text: str, key: str) -> DataFrame:

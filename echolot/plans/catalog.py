@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echolot.config import FIRST_WATERMARK, IssueFilter
+from echolot.functions.iso_time import parse_strict
 from echolot.functions.labels import validate_labels as valid_labels
 from echolot.functions.terms import tokens
 from echolot.operators import cleaning, enrichment, facets, metrics, predicates, quality
-from echolot.operators.scoring import scored
+from echolot.operators.scoring import FAILURES, add_scored, scored, scored_results
 from echolot.plans.dashboard import publish_snapshot, read_snapshot
 from echolot.plans.document_issues import DOCUMENT_CONFIG as CFG
 from echolot.plans.document_issues import raw_issues as document_issues
@@ -25,8 +26,10 @@ from echolot.plans.ingest import process_issues, run_batch
 from echolot.schemas import RAW_SCHEMA
 from echolot.session import scratch_path
 from echolot.sources import tables
+from echolot.sources.landing import literal_path, record_files, unread_files
 from echolot.sources.pages import read_issue_pages, write_issue_pages
-from echolot.sources.run_state import state_frame
+from echolot.sources.run_state import RunState, load_run_state, save_run_state, state_frame
+from echolot.sources.snapshot import merge_snapshot, read_current
 from echolot.sources.vocabulary import load_label_vocab as load_vocab
 from echolot.sources.vocabulary import vocabulary_frame
 from echolot.streaming.incremental import run_stream
@@ -47,6 +50,16 @@ RANGE = (0.1, 0.5)
 FILTER = IssueFilter(
     labels=("Daten",), pages=("Via OpenCode",), sentiment=(-0.5, 0.9), rounds=(1,), search="ther"
 )
+PHRASES = (
+    ("Architektur", "the of"),
+    ("Betrieb", "of the"),
+    ("Daten", "the of the"),
+    ("EU", "de la"),
+    ("Low Code", "la de"),
+    ("Open Source", "der die"),
+    ("Standards", "thor"),
+    ("Künstliche Intelligenz", "and the"),
+)
 SAMPLE_SIZE = 5
 SAMPLE_SEED = 42
 
@@ -89,7 +102,7 @@ def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     def ingest(path: str) -> None:
         table = scratch_path(spark, "issues")
         tables.write_partition(process_issues(raw_issues(spark, sf_dir), CFG), table, NEW_DATE)
-        publish_snapshot(spark, table, path)
+        publish_snapshot(spark, table, path, buckets=8)
 
     return read_snapshot(spark, _once(spark, sf_dir, "snapshot", ingest))
 
@@ -206,10 +219,77 @@ def load_label_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     fetched = cleaning.new_issues(typed_issues(spark, sf_dir), FIRST_WATERMARK)
-    raw = raw_issues(spark, sf_dir).filter(F.col("created_at") > F.lit("2025-12-31T23:59:59Z"))
+    parsed = raw_issues(spark, sf_dir).withColumn("_created", parse_strict(F.col("created_at")))
+    raw = cleaning.new_issues(parsed, FIRST_WATERMARK, "_created").drop("_created")
     return state_frame(fetched, process_issues(raw, CFG))
 
 
+@query
+def run_state_saved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a run as the next one loads it: of two records the later one."""
+    path = scratch_path(spark, "state")
+    row = run_state(spark, sf_dir).first()
+    save_run_state(spark, path, RunState(FIRST_WATERMARK, 1, 1))
+    watermark = datetime.strptime(row.last_successful_run, "%Y-%m-%dT%H:%M:%S.%fZ")
+    saved = RunState(watermark, row.last_fetched_issues, row.total_issues_processed)
+    save_run_state(spark, path, saved)
+    state = load_run_state(spark, path)
+    values = (state.last_successful_run, state.last_fetched_issues, state.total_issues_processed)
+    return spark.createDataFrame([values], "last_successful_run timestamp_ntz, fetched long, processed long")
+
+
+@query
+def run_without_new_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run over the same pages reads them, finds nothing new and writes nothing."""
+    landing, table, state = (scratch_path(spark, name) for name in ("pages", "issues", "state"))
+    write_issue_pages(raw_issues(spark, sf_dir), landing)
+    run_batch(spark, landing, table, state, OLD_DATE, CFG)
+    run = run_batch(spark, landing, table, state, NEW_DATE, CFG)
+    dates = spark.read.parquet(table).agg(F.count_distinct(tables.PARTITION_COLUMN).alias("dates"))
+    return dates.select(
+        F.lit(run.fetched).cast("long").alias("fetched"),
+        F.lit(run.new).cast("long").alias("new"),
+        F.lit(run.saved).cast("long").alias("saved"),
+        "dates",
+    )
+
+
+@query
+def read_new_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that landed after the manifest was written; the files before are not opened."""
+    landing, manifest = scratch_path(spark, "pages"), scratch_path(spark, "manifest")
+    raw = raw_issues(spark, sf_dir)
+    write_issue_pages(raw.filter("iid % 10 <> 0"), landing)
+    record_files(spark, unread_files(spark, landing, manifest), manifest)
+    write_issue_pages(raw.filter("iid % 10 = 0"), landing, mode="append")
+    new = [literal_path(file.path) for file in unread_files(spark, landing, manifest)]
+    return read_issue_pages(spark, new).select("iid", "title", "description", "created_at")
+
+
+@query
+def infer_issue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages with inferred types."""
+    landing = scratch_path(spark, "pages")
+    write_issue_pages(raw_issues(spark, sf_dir), landing)
+    return read_issue_pages(spark, landing, schema=None).select(
+        "iid", "title", "closed_at", "upvotes", F.col("author.id").alias("author_id")
+    )
+
+
+@query
+def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot of one partition, brought up to a later one with the closed issues, updated."""
+    table, base = scratch_path(spark, "issues"), scratch_path(spark, "buckets")
+    rows = cleaning.clean_issues(raw_issues(spark, sf_dir), CFG).select("iid", "state", "updated_at")
+    rows = tables.write_stage(rows, scratch_path(spark, "versions"))
+    tables.write_partition(rows, table, OLD_DATE)
+    merge_snapshot(spark, table, base, rows.schema, buckets=8)
+    later = F.col("updated_at") + F.expr("INTERVAL 1 DAY")
+    tables.write_partition(rows.filter("state = 'closed'").withColumn("updated_at", later), table, NEW_DATE)
+    merge_snapshot(spark, table, base, rows.schema)
+    return read_current(spark, base, rows.schema).drop(tables.BATCH_COLUMN)
+
+
 @query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of a whole batch run, observed while it writes."""
@@ -373,6 +453,25 @@ def keyword_labels_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("iid", text_of(LABELS).alias("labels"))
 
 
+@query
+def keyword_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of one to three words that overlap each other and cross line breaks."""
+    labelled = enrichment.add_labels(prepared_issues(spark, sf_dir), PHRASES)
+    return labelled.select("iid", text_of(LABELS).alias("labels"))
+
+
+@query
+def keyword_phrases_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of neighbouring words of the benchmark passages as rules."""
+    passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    words = passages.select(F.filter(tokens(F.col("text")), lambda w: w != "").alias("w"))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.array_join(F.slice("w", i, 2), " "))
+    phrases = words.filter(F.size("w") > 1).select(F.explode(pairs).alias("tok")).distinct()
+    rules = phrases.select(F.concat(F.lit("length "), F.length("tok").cast("string")).alias("label"), "tok")
+    labelled = enrichment.add_labels(prepared_issues(spark, sf_dir), rules)
+    return labelled.select("iid", text_of(LABELS).alias("labels"))
+
+
 @query
 def validate_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Answers with spaces, repetitions, wrong case, empty parts and unknown labels."""
@@ -451,6 +550,16 @@ def pluggable_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Filters
 
 
+@query
+def scorer_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores with the number of failed calls of each row."""
+    results = scored_results(
+        "desc_clean", "form_page", make_scorer=_length_scorer, returns="double", default=0.0, batch_rows=7
+    )
+    rows = add_scored(prepared_issues(spark, sf_dir), "sentiment", results)
+    return rows.select("iid", "sentiment", F.col(FAILURES).alias("failed"))
+
+
 def _filtered(condition: Column) -> Query:
     return lambda spark, sf_dir: issues(spark, sf_dir).filter(condition).select("iid", "form_page")
 

@@ -93,6 +93,9 @@ prepared AS (
 toks AS (
   SELECT iid, unnest(regexp_split_to_array(lower(desc_clean), '[^\\p{{L}}]+')) AS tok
   FROM prepared),
+lines AS (
+  SELECT iid, concat(' ', array_to_string(regexp_split_to_array(lower(desc_clean), '[^\\p{{L}}]+'), ' '), ' ') AS line
+  FROM prepared),
 lexicon(tok, w) AS (VALUES {_values(DOCUMENT_LEXICON.items())}),
 rules(label, tok) AS (VALUES {_values(DOCUMENT_RULES)}),
 vocabulary(label) AS (VALUES {_values((label,) for label in LABEL_VOCABULARY)}),
@@ -134,6 +137,7 @@ passages AS (
 
 JOINED_LABELS = "array_to_string(labels, '|') AS labels"
 FOUND_LABELS = "coalesce(array_to_string(ls, '|'), '') AS labels"
+PAIRED = "unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))"
 SENTIMENT = "round(sentiment, 6) AS sentiment"
 
 
@@ -184,6 +188,18 @@ SELECTS = {
       AS last_successful_run, count(*) AS last_fetched_issues,
       (SELECT count(*) FROM fresh_prepared WHERE NOT excluded_page) AS total_issues_processed
       FROM fresh""",
+    "run_state_saved": """SELECT max(created_at) AS last_successful_run, count(*) AS fetched,
+      (SELECT count(*) FROM fresh_prepared WHERE NOT excluded_page) AS processed FROM fresh""",
+    "run_without_new_issues": """SELECT count(*) AS fetched, CAST(0 AS BIGINT) AS new,
+      CAST(0 AS BIGINT) AS saved, CAST(1 AS BIGINT) AS dates FROM raw""",
+    "read_new_landings": """SELECT iid, title, description, created_text AS created_at FROM raw
+      WHERE iid % 10 = 0""",
+    "infer_issue_pages": """SELECT iid, title, closed_text AS closed_at, upvotes, author_id FROM raw""",
+    "snapshot_merge": f"""SELECT iid, state,
+      CASE WHEN state = 'closed' THEN updated_at + INTERVAL 1 DAY ELSE updated_at END
+      AS updated_at,
+      CASE WHEN state = 'closed' THEN DATE '{q.NEW_DATE}' ELSE DATE '{q.OLD_DATE}' END
+      AS processing_date FROM clean""",
     "stage_counts": """SELECT 'fetched' AS stage, (SELECT count(*) FROM raw) AS n
       UNION ALL SELECT 'new', (SELECT count(*) FROM fresh)
       UNION ALL SELECT 'prepared', (SELECT count(*) FROM fresh_prepared)
@@ -229,6 +245,18 @@ SELECTS = {
       FROM prepared p LEFT JOIN (
         SELECT iid, list_sort(list(DISTINCT concat('length ', length(tok)))) AS ls
         FROM toks JOIN passages USING (tok) GROUP BY iid) f USING (iid)""",
+    "keyword_phrases": f"""SELECT p.iid, {FOUND_LABELS} FROM prepared p LEFT JOIN (
+      SELECT iid, list_sort(list(DISTINCT label)) AS ls FROM lines
+      JOIN (VALUES {_values(q.PHRASES)}) r(label, phrase) ON contains(line, concat(' ', phrase, ' '))
+      GROUP BY iid) f USING (iid)""",
+    "keyword_phrases_by_join": f"""SELECT p.iid, {FOUND_LABELS} FROM prepared p LEFT JOIN (
+      SELECT iid, list_sort(list(DISTINCT concat('length ', length(tok)))) AS ls
+      FROM (SELECT iid, {PAIRED} AS tok FROM (
+        SELECT iid, string_split(trim(line), ' ') AS w FROM lines))
+      JOIN (SELECT DISTINCT {PAIRED} AS tok FROM (
+        SELECT list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: x <> '') AS w
+        FROM benchmark)) USING (tok)
+      GROUP BY iid) f USING (iid)""",
     "validate_labels": f"""SELECT iid, coalesce(array_to_string(list_filter(list_transform(
       string_split(concat(' EU,', state, ',,eu , Daten\t,Unklar,', CASE WHEN upvotes > 5
         THEN 'Low Code, EU' ELSE 'Low  Code,Open Source' END), ','),
@@ -246,6 +274,9 @@ SELECTS = {
       FROM enriched""",
     "pluggable_scorer": """SELECT iid, CAST(CASE WHEN form_page = '/src5/' THEN 0.0
       ELSE length(desc_clean) % 3 - 1.0 END AS DOUBLE) AS sentiment FROM prepared""",
+    "scorer_failures": """SELECT iid, CAST(CASE WHEN form_page = '/src5/' THEN 0.0
+      ELSE length(desc_clean) % 3 - 1.0 END AS DOUBLE) AS sentiment,
+      CAST(CASE WHEN form_page = '/src5/' THEN 1 ELSE 0 END AS BIGINT) AS failed FROM prepared""",
     "filter_labels_all": _filtered(
         " AND ".join(f"list_contains(labels, {_text(label)})" for label in q.TOGETHER)
     ),

@@ -14,7 +14,8 @@ from echolot.operators.metrics import (
 )
 from echolot.operators.predicates import filtered_issues
 from echolot.schemas import issue_schema
-from echolot.sources.tables import PARTITION_COLUMN, latest_per_issue, load_issues
+from echolot.sources.snapshot import BUCKETS, merge_snapshot, read_current
+from echolot.sources.tables import BATCH_COLUMN, latest_per_issue, load_issues
 
 
 def current_issues(spark: SparkSession, table: str, label_version: int = 1) -> DataFrame:
@@ -23,20 +24,20 @@ def current_issues(spark: SparkSession, table: str, label_version: int = 1) -> D
 
 
 def publish_snapshot(
-    spark: SparkSession, table: str, path: str, label_version: int = 1
+    spark: SparkSession, table: str, path: str, label_version: int = 1, buckets: int = BUCKETS
 ) -> DataFrame:
-    """Write the current issues once a day; the dashboard then reads them without a shuffle.
+    """Bring the snapshot of the current issues up to the table; the dashboard reads it without a shuffle.
 
     Filters reach the scan of a snapshot, which they cannot through the choice of the
-    newest version.
+    newest version. Only the buckets of changed issues are written, and readers see the old
+    version until the new one is whole.
     """
-    current_issues(spark, table, label_version).write.mode("overwrite").parquet(path)
+    merge_snapshot(spark, table, path, issue_schema(label_version), buckets)
     return read_snapshot(spark, path, label_version)
 
 
 def read_snapshot(spark: SparkSession, path: str, label_version: int = 1) -> DataFrame:
-    schema = issue_schema(label_version).add(PARTITION_COLUMN, "date")
-    return spark.read.schema(schema).parquet(path)
+    return read_current(spark, path, issue_schema(label_version)).drop(BATCH_COLUMN)
 
 
 def facets(df: DataFrame, label_column: str = "labels_v1") -> dict[str, DataFrame]:

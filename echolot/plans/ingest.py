@@ -20,6 +20,8 @@ from echolot.operators.cleaning import (
 )
 from echolot.operators.enrichment import enrich
 from echolot.session import scratch_path
+from echolot.operators.scoring import FAILURES, TooManyFailures
+from echolot.sources.landing import literal_path, record_files, unread_files
 from echolot.sources.pages import read_issue_pages
 from echolot.sources.run_state import RunState, load_run_state, save_run_state
 from echolot.sources.tables import (
@@ -36,13 +38,16 @@ Enricher = Callable[[DataFrame, IngestConfig], DataFrame]
 
 @dataclass(frozen=True)
 class RunSummary:
-    """Row counts of one run and the state it leaves."""
+    """Row counts of one run and the state it leaves; ``files`` is None where all pages were read,
+    ``failed`` counts the scorer calls that gave a default."""
 
     fetched: int
     new: int
     prepared: int
     saved: int
     state: RunState
+    files: int | None = None
+    failed: int = 0
 
 
 def process_issues(
@@ -76,6 +81,8 @@ def run_batch(
     parity: bool = False,
     keys_path: str | None = None,
     one_page_per_file: bool = False,
+    manifest: str | None = None,
+    max_failed_share: float = 1.0,
 ) -> RunSummary:
     """One incremental run.
 
@@ -83,14 +90,24 @@ def run_batch(
     executor repeats its part from the stage. The partition is written before the state,
     so a run that fails can simply be repeated. A later run of a day adds to the day's partition
     what it lacks; ``mode="overwrite"``, the default with ``parity``, replaces the partition. With
-    ``keys_path`` issues are also de-duplicated against all earlier runs.
+    ``keys_path`` issues are also de-duplicated against all earlier runs. With ``manifest`` only files that
+    no earlier run has read are opened; the rows of the others are not later than the watermark, so the
+    result is that of the full read. ``parity`` takes an earlier watermark and reads all files.
+
+    Where the enricher counts failed scorer calls (``scoring.add_scored``), a run with more of them than
+    ``max_failed_share`` of its rows ends with ``TooManyFailures`` before anything is published.
     """
+    if manifest and parity:
+        raise ValueError("parity reads all landed files, so it takes no manifest")
     cfg = cfg or IngestConfig()
     mode = mode or ("overwrite" if parity else "append")
     partition = f"{table}/{PARTITION_COLUMN}={processing_date.isoformat()}"
     state = load_run_state(spark, state_path)
     fetched_rows, new_rows = Observation("fetched"), Observation("new")
-    raw = read_issue_pages(spark, landing, one_page_per_file)
+    files = unread_files(spark, landing, manifest) if manifest else None
+    pages = landing if files is None else [literal_path(file.path) for file in files]
+    n_files = None if files is None else len(files)
+    raw = read_issue_pages(spark, pages, one_page_per_file)
     fetched = raw.observe(fetched_rows, F.count(F.lit(1)).alias("n"))
     new = _watermark_filter(fetched, state, cfg).observe(
         new_rows, F.count(F.lit(1)).alias("n"), F.max("_watermark").alias("watermark")
@@ -98,13 +115,22 @@ def run_batch(
     staged = write_stage(new, scratch_path(spark, "new-issues")).drop("_watermark")
     n_new = new_rows.get["n"]
     if n_new == 0:
-        return RunSummary(fetched_rows.get["n"], 0, 0, 0, state)
+        record_files(spark, files or [], manifest)
+        return RunSummary(fetched_rows.get["n"], 0, 0, 0, state, n_files)
 
     known = None
     if keys_path:
         known = known_keys(spark, keys_path, PARTITION_COLUMN, processing_date, mode == "append")
     prepared_rows, saved_rows = Observation("prepared"), Observation("saved")
     issues = process_issues(staged, cfg, enricher, prepared_rows, known)
+    failed = 0
+    if FAILURES in issues.columns:
+        failed_calls = Observation("failed")
+        counted = issues.observe(failed_calls, F.count(F.lit(1)).alias("rows"), F.sum(FAILURES).alias("n"))
+        issues = write_stage(counted.drop(FAILURES), scratch_path(spark, "enriched"))
+        failed, rows = failed_calls.get["n"] or 0, failed_calls.get["rows"]
+        if failed > max_failed_share * rows:
+            raise TooManyFailures(failed, rows)
     if mode == "append":
         issues = not_yet_written(issues, partition)
     issues = issues.observe(
@@ -120,4 +146,7 @@ def run_batch(
     saved = saved_rows.get["n"]
     new_state = RunState(watermark, n_new, saved)
     save_run_state(spark, state_path, new_state)
-    return RunSummary(fetched_rows.get["n"], n_new, prepared_rows.get["n"], saved, new_state)
+    record_files(spark, files or [], manifest)  # after the state: a file is read again rather than skipped
+    return RunSummary(
+        fetched_rows.get["n"], n_new, prepared_rows.get["n"], saved, new_state, n_files, failed
+    )

@@ -66,3 +66,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a path on its file system, with all below it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet; of two writers one fails."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()

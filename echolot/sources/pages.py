@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,22 +22,24 @@ def page_options(one_page_per_file: bool) -> dict[str, str]:
 
 def read_issue_pages(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     one_page_per_file: bool = False,
     schema: T.StructType | None = RAW_SCHEMA,
 ) -> DataFrame:
-    """All records of all pages; an empty page gives no rows.
+    """All records of all pages of a folder or of some files; an empty page gives no rows.
 
     A page is a JSON array. The usual landing file holds one page per line, which Spark
     splits by blocks; ``one_page_per_file`` reads files that are one array each. Without
     a schema the types are inferred, for exploration.
     """
     reader = spark.read.options(**page_options(one_page_per_file))
-    return (reader.schema(schema) if schema else reader).json(path)
+    if not isinstance(path, str) and not path:
+        return spark.createDataFrame([], schema or RAW_SCHEMA)
+    return (reader.schema(schema) if schema else reader).json(path if isinstance(path, str) else list(path))
 
 
-def write_issue_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
-    """Land records as pages, one per line.
+def write_issue_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE, mode: str = "error") -> None:
+    """Land records as pages, one per line; ``mode="append"`` adds files to a landing folder.
 
     Neighbouring rows of a task share a page, so this needs no shuffle and a page never
     exceeds ``page_size``.
@@ -53,4 +55,4 @@ def write_issue_pages(df: DataFrame, path: str, page_size: int = PAGE_SIZE) -> N
             yield pd.DataFrame({"value": pages})
 
     records = df.select(F.to_json(F.struct(*df.columns)).alias("record"))
-    records.mapInPandas(pack, "value string").write.text(path)
+    records.mapInPandas(pack, "value string").write.mode(mode).text(path)

@@ -85,14 +85,19 @@ def union_aligned(frames: Sequence[DataFrame]) -> DataFrame:
 def latest_per_issue(
     df: DataFrame,
     key: str = "iid",
-    order: Sequence[str] = (PARTITION_COLUMN, "updated_at"),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The newest version of each issue.
+    """The newest version of each issue: by processing date, time of update and micro-batch, as far as
+    there are such columns. Versions equal in these are told apart by a hash of all columns, so the
+    choice is the same in every run.
 
     Rank 1 trims each key within the task before the shuffle, so an issue with very many
     versions sends one row per task.
     """
-    newest = W.partitionBy(key).orderBy(*(F.desc_nulls_last(column) for column in order))
+    if order is None:
+        order = [c for c in (PARTITION_COLUMN, "updated_at", BATCH_COLUMN) if c in df.columns]
+    last = F.desc(F.xxhash64(*sorted(df.columns)))
+    newest = W.partitionBy(key).orderBy(*(F.desc_nulls_last(column) for column in order), last)
     ranked = df.withColumn("_rank", F.row_number().over(newest))
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 

@@ -9,18 +9,31 @@ Exit code 0 after a run, also one without new issues; 1 after a failure.
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 import sys
 from datetime import UTC, date, datetime
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from echolot.config import IngestConfig
 from echolot.plans.ingest import run_batch
 from echolot.session import cluster_conf
 
 logger = logging.getLogger("ingest")
 
 
+def config_file(path: str) -> IngestConfig:
+    """Settings of a run; the file names fields of ``IngestConfig``, lists stand for tuples."""
+
+    def frozen(value):
+        return tuple(map(frozen, value)) if isinstance(value, list) else value
+
+    settings = json.loads(Path(path).read_text(encoding="utf-8"))
+    return IngestConfig(**{name: frozen(value) for name, value in settings.items()})
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Ingest newly landed issue pages.")
     parser.add_argument("--landing", required=True, help="folder of landed pages")
@@ -29,6 +42,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keys", help="content keys, to de-duplicate against earlier runs")
     parser.add_argument("--date", type=date.fromisoformat, help="processing date, UTC today if unset")
     parser.add_argument("--mode", choices=("overwrite", "append"))
+    parser.add_argument("--manifest", help="list of files read so far, to open only new ones")
+    parser.add_argument("--config", type=config_file, default=IngestConfig(), help="JSON file of settings")
+    parser.add_argument("--parity", action="store_true", help="watermark and partitions as the original has them")
+    parser.add_argument("--max-failed-share", type=float, default=1.0, help="of failed scorer calls")
     parser.add_argument("--page-files", action="store_true", help="each file is one page")
     parser.add_argument("--input-bytes", type=int, default=0, help="expected size of new pages")
     return parser.parse_args(argv)
@@ -48,18 +65,23 @@ def main(argv: list[str] | None = None) -> int:
             args.state,
             args.date or datetime.now(UTC).date(),
             mode=args.mode,
+            cfg=args.config,
+            parity=args.parity,
             keys_path=args.keys,
+            manifest=args.manifest,
+            max_failed_share=args.max_failed_share,
             one_page_per_file=args.page_files,
         )
     except Exception:
         logger.exception("ingest failed; the run state is unchanged")
         return 1
     logger.info(
-        "fetched %d, new %d, prepared %d, saved %d; next run starts after %s",
+        "fetched %d, new %d, prepared %d, saved %d, failed scorer calls %d; next run starts after %s",
         run.fetched,
         run.new,
         run.prepared,
         run.saved,
+        run.failed,
         run.state.last_successful_run,
     )
     return 0

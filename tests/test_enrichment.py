@@ -6,6 +6,7 @@ import string
 import pytest
 from pyspark.sql import functions as F
 
+from echolot.config import LABEL_VOCABULARY, rules_from_vocabulary
 from echolot.functions.terms import INLINE_TERM_LIMIT
 from echolot.operators import enrichment
 from echolot.operators.scoring import scored
@@ -217,7 +218,45 @@ def test_short_and_long_term_tables_agree(spark):
 
 
 def test_term_tables_are_checked(spark, texts):
-    for term in ("Gut", "zwei worte", "7"):
+    for term in ("Gut", "zwei  worte", "zwei Worte", "7"):
         terms = spark.createDataFrame([(term, 1)], "tok string, w int")
-        with pytest.raises(Exception, match="single lower-case words"):
+        with pytest.raises(Exception, match="lower-case words with one space"):
             enrichment.add_sentiment_scores(texts, terms).collect()
+
+
+def test_every_label_of_the_vocabulary_can_be_given(spark):
+    rules = rules_from_vocabulary(LABEL_VOCABULARY)
+    assert [label for label, _ in rules] == list(LABEL_VOCABULARY)
+    df = spark.createDataFrame([(1, "!\n".join(LABEL_VOCABULARY))], "iid long, desc_clean string")
+    assert enrichment.add_labels(df, rules).first().labels_v1 == sorted(LABEL_VOCABULARY)
+
+
+def test_phrases_by_lookup_and_by_join(spark):
+    rows = [(1, "low\n code, low code"), (2, "open source code"), (3, None), (4, ""), (1, "source")]
+    df = spark.createDataFrame(rows, "iid long, desc_clean string")
+    rules = [("A", "low code"), ("B", "open source"), ("C", "source code"), ("D", "code low code"), ("E", "source")]
+    table = spark.createDataFrame(rules, "label string, tok string")
+    weights = {"low code": 2, "code": -1, "source code": 4}
+    lexicon = spark.createDataFrame(list(weights.items()), "tok string, w int")
+
+    def found(rules, lexicon):
+        both = enrichment.add_sentiment_scores(enrichment.add_labels(df, rules), lexicon)
+        return sorted(map(str, both.select("iid", "desc_clean", "labels_v1", "sentiment").collect()))
+
+    assert found(rules, weights) == found(table, lexicon)
+    labels = {r.desc_clean: r.labels_v1 for r in enrichment.add_labels(df, table).collect()}
+    assert labels["low\n code, low code"] == ["A", "D"]
+    assert labels["open source code"] == ["B", "C", "E"]
+    scores = {r.desc_clean: r.sentiment for r in enrichment.add_sentiment_scores(df, lexicon).collect()}
+    assert scores == {"low\n code, low code": 0.5, "open source code": 1.0, None: None, "": 0.0, "source": 0.0}
+
+
+def test_term_table_is_measured_in_all_its_columns(spark):
+    long_label = spark.createDataFrame([("x" * 1000, "wort")], "label string, tok string")
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(enrichment.broadcast_if_small(long_label))
+    assert not hinted(enrichment.broadcast_if_small(long_label, max_bytes=500))
+    assert not hinted(enrichment.broadcast_if_small(long_label, max_rows=0))

@@ -4,6 +4,8 @@ import random
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from echolot.config import LABEL_VOCABULARY
@@ -130,9 +132,35 @@ def test_inline_hits_are_whole_tokens(column):
 
 
 def test_terms_that_cannot_match_are_refused():
-    for bad in ("The", "open source", "e-mail", ""):
-        with pytest.raises(ValueError, match="single lower-case words"):
+    for bad in ("The", "open  source", " open", "Open source", "e-mail", ""):
+        with pytest.raises(ValueError, match="lower-case words with one space"):
             terms.check_terms([bad])
+    assert terms.check_terms(["open source", "the", "the"]) == ["open source", "the"]
+
+
+def test_phrases_overlap_and_cross_line_breaks(column):
+    values = ["Open\nsource, low-code open SOURCE code", "open", "source open", "", None, "open_source_code"]
+    phrases = ["open source", "source low", "source", "source code", "open source code"]
+    got = column(values, lambda c: terms.inline_hits(c, phrases))
+    assert [hits and sorted(hits) for hits in got] == [
+        ["open source", "open source", "open source code", "source", "source", "source code", "source low"],
+        [], ["source"], [], None, ["open source", "open source code", "source", "source code"],
+    ]
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(st.sampled_from("abc"), max_size=12), min_size=1, max_size=6),
+       st.lists(st.lists(st.sampled_from("abc"), min_size=1, max_size=4), min_size=1, max_size=8))
+def test_phrase_hits_equal_a_plain_search(column, texts, wanted):
+    phrases = {" ".join(p) for p in wanted}
+    want = [
+        sorted(
+            " ".join(t[i : i + k]) for k in range(1, 5) for i in range(len(t) - k + 1) if " ".join(t[i : i + k]) in phrases
+        )
+        for t in texts
+    ]
+    got = column([", ".join(t) for t in texts], lambda c: terms.inline_hits(c, phrases))
+    assert [sorted(hits) for hits in got] == want
 
 
 def test_has_all(column):
