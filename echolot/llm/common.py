@@ -19,8 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Frees the shuffle files of a write as soon as it is done.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# A stage's write frees its shuffle files as soon as it is done; Python gets rows, some of them
+# with long texts, in smaller batches.
+STAGE_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 _paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
@@ -33,12 +37,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key) for key in STAGE_CONF}
+    for key, value in STAGE_CONF.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     table = spark.read.schema(df.schema).parquet(path)
     _paths[table] = path
     return table

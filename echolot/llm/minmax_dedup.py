@@ -34,6 +34,7 @@ from echolot.llm.components import components
 from echolot.llm.ngram_join import (
     Shingler,
     anchored_links,
+    anchored_pivot_links,
     classes,
     differences_to,
     labelled_lists,
@@ -165,6 +166,9 @@ def grouped(
     near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
     links = links.unionByName(near)
     known = components(links)
+    links = links.unionByName(anchored_pivot_links(differences, known, percent))
+    discard(known)
+    known = components(links)
     links = links.unionByName(anchored_links(differences, known, percent))
 
     mixed_lists = labelled_lists(lists, known)

@@ -16,8 +16,8 @@ Steps, each a written table:
 5. nodes that meet a common anchor keep how they differ from it. Two similar sets whose differences
    have nothing in common are both similar to the anchor, so they are in its component already.
    All other similar sets with this anchor share at least a known part of their differences, and a
-   prefix join over these short sets finds them: near copies that are just not similar enough are
-   not compared one by one;
+   prefix join over these short sets finds them, first with one pivot a list, then between what is
+   left apart: near copies that are just not similar enough are not compared one by one;
 6. all remaining pairs between different components and anchors, verified. A posting list that lies
    within one component or anchor makes no pair; in the others, members of the list's largest class
    meet only the rest. Pairs inside a component can't change the result.
@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echolot.llm.common import discard, staged
@@ -52,6 +52,7 @@ ANCHOR_SPAN = 4  # differences that are kept, in multiples of what similar sets
 ANCHOR_TOKENS = 512
 FILTER_BLOCKS = 256
 FILTER_BITS = 32768
+MARKS = ("m0", "m1", "m2", "m3")
 MEMO = 500_000
 SET_BYTES = 32_000_000
 BASE = 0x9E3779B97F4A7C15
@@ -342,8 +343,9 @@ def nearest_anchors(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, anchor, n, anchor_n, d, outside): ``d`` holds what only one of the node and its anchor has,
-    what the anchor lacks first; ``outside`` nodes are not similar to their anchor.
+    """(node, anchor, n, anchor_n, d, outside, marks): ``d`` holds what only one of the node and its anchor
+    has, what the anchor lacks first; ``outside`` nodes are not similar to their anchor. The marks are a
+    bitmap of ``d``: sets differ by at least as many shingles as their bitmaps by bits.
 
     Nodes that differ by much from their anchor are left out.
     """
@@ -355,16 +357,19 @@ def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width:
         apart, allowed = (100 + percent) * size, (100 - percent) * (len(own) + len(other))
         if apart > ANCHOR_SPAN * allowed or size > ANCHOR_TOKENS:
             return None
-        return a, b, len(own), len(other), np.concatenate([added, gone]).astype(np.int64), apart > allowed
+        d = np.concatenate([added, gone])
+        marks = np.zeros(256, bool)
+        marks[(d >> np.uint64(56)).astype(np.int64)] = True
+        return a, b, len(own), len(other), d.astype(np.int64), apart > allowed, *np.packbits(marks).view(np.int64).tolist()
 
-    schema = "node long, anchor long, n int, anchor_n int, d array<long>, outside boolean"
+    schema = "node long, anchor long, n int, anchor_n int, d array<long>, outside boolean, " + ", ".join(f"{m} long" for m in MARKS)
     return _both_sets(docs, nodes, anchors, width, schema, difference, "differences")
 
 
-def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Links between different components of nodes that have an anchor in common; a written table.
+def _anchored_postings(differences: DataFrame, known: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes with their component, and their differences as postings of lists that hold several components.
 
-    Sets differ by what only one of them differs from the anchor in. One end of such a link is
+    Of each node that is similar to its anchor only a prefix is listed: one end of a wanted link is
     outside, which bounds from below how much the other's differences share with it.
     """
     scale, slack = 100 + percent, 100 - percent
@@ -372,25 +377,68 @@ def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> Da
     rows = differences.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = staged(rows.withColumn("prefix", F.size("d") - F.greatest(least, F.lit(1)) + 1), "anchored")
     posts = rows.select(
-        "anchor", "node", "component", "outside", "prefix", F.posexplode("d").alias("at", "token")
-    ).where("outside or at < prefix")
+        "anchor", "node", "component", "outside", "prefix", "n", F.size("d").alias("size"), *MARKS,
+        F.posexplode("d").alias("at", "token"),
+    ).where("outside or at < prefix")
     mixed = posts.groupBy("anchor", "token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     posts = posts.join(mixed.where("lo < hi").select("anchor", "token"), ["anchor", "token"])
-    posts = staged(posts.join(rows.select("node", "n", "d"), "node"), "anchored-postings")
-    discard(rows)
+    return rows, staged(posts, "anchored-postings")
+
+
+def _near_by_difference(rows: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The similar ones of pairs with a common anchor: sets differ by what only one differs from it in.
+    A written table; ``pairs`` is staged and goes."""
+    own = rows.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"))
+    other = rows.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
+    apart = F.size("d_a") + F.size("d_b") - 2 * F.size(F.array_intersect("d_a", "d_b"))
+    similar = (100 + percent) * apart <= (100 - percent) * (F.col("n_a") + F.col("n_b"))
+    links = staged(pairs.join(own, "a").join(other, "b").where(similar).select("a", "b"), "anchored-links")
+    discard(pairs)
+    return links
+
+
+def _may_be_near(a: str, b: str, percent: int) -> Column:
+    """Whether the bitmaps of two differences permit similar sets."""
+    bits = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in MARKS), F.lit(0))
+    return (100 + percent) * bits <= (100 - percent) * (F.col(f"{a}.n") + F.col(f"{b}.n"))
+
+
+def anchored_pivot_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links of nodes to the pivots of their lists of differences: at most one pair for each posting.
+
+    Every list draws its own pivot, so a node meets as many others as it has postings.
+    """
+    rows, posts = _anchored_postings(differences, known, percent)
+    order = F.struct(F.xxhash64("token", "node").alias("o"), "node", "component", "n", *MARKS)
+    pivots = posts.groupBy("anchor", "token").agg(F.min(order).alias("p"))
+    drawn = pivots.select("anchor", "token", "p.*").alias("b")
+    on = (F.col("a.anchor") == F.col("b.anchor")) & (F.col("a.token") == F.col("b.token"))
+    apart = F.col("a.component") != F.col("b.component")
+    met = posts.alias("a").join(drawn, on & apart & _may_be_near("a", "b", percent))
+    ends = F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
+    links = _near_by_difference(rows, staged(met.select(*ends).distinct(), "anchored-pivots"), percent)
+    discard(rows, posts)
+    return links
+
+
+def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of nodes that have an anchor in common; a written table."""
+    scale, slack = 100 + percent, 100 - percent
+    rows, posts = _anchored_postings(differences, known, percent)
     a, b = posts.where("outside").alias("a"), posts.where("at < prefix").alias("b")
-    apart = F.size("a.d") + F.size("b.d") - 2 * F.size(F.array_intersect("a.d", "b.d"))
-    earlier = [F.slice(f"{x}.d", F.lit(1), F.col(f"{x}.at")) for x in "ab"]
+    # What two differences can share if they share the shingles at these places.
+    shared = F.least("a.at", "b.at") + 1 + F.least(F.expr("a.size - a.at - 1"), F.expr("b.size - b.at - 1"))
     meets = (
         (F.col("a.anchor") == F.col("b.anchor"))
         & (F.col("a.token") == F.col("b.token"))
         & (F.col("a.component") != F.col("b.component"))
         & (~F.col("b.outside") | ((F.col("a.at") < F.col("a.prefix")) & (F.col("a.node") < F.col("b.node"))))
-        & ~F.arrays_overlap(*earlier)
-        & (scale * apart <= slack * (F.col("a.n") + F.col("b.n")))
+        & (scale * (F.col("a.size") + F.col("b.size") - 2 * shared) <= slack * (F.col("a.n") + F.col("b.n")))
+        & _may_be_near("a", "b", percent)
     )
-    links = staged(a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")), "anchored-links")
-    discard(posts)
+    pairs = a.join(b, meets).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    links = _near_by_difference(rows, staged(pairs, "anchored-pairs"), percent)
+    discard(rows, posts)
     return links
 
 
@@ -461,6 +509,9 @@ def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     near = differences.where("not outside").select(F.col("node").alias("a"), F.col("anchor").alias("b"))
     links = links.unionByName(near)
     known = components(links)
+    links = links.unionByName(anchored_pivot_links(differences, known, percent))
+    discard(known)
+    known = components(links)
     links = links.unionByName(anchored_links(differences, known, percent))
 
     labelled = labelled_lists(lists, known)
