@@ -18,12 +18,13 @@ from echolot.functions.iso_time import parse_strict
 from echolot.functions.labels import validate_labels as valid_labels
 from echolot.functions.terms import tokens
 from echolot.operators import cleaning, enrichment, facets, metrics, predicates, quality
+from echolot.plans import figures
 from echolot.operators.scoring import FAILURES, add_scored, scored, scored_results
 from echolot.plans.dashboard import publish_snapshot, read_snapshot
 from echolot.plans.document_issues import DOCUMENT_CONFIG as CFG
 from echolot.plans.document_issues import raw_issues as document_issues
 from echolot.plans.ingest import process_issues, run_batch
-from echolot.schemas import RAW_SCHEMA
+from echolot.schemas import RAW_SCHEMA, issue_schema
 from echolot.session import scratch_path
 from echolot.sources import tables
 from echolot.sources.landing import literal_path, record_files, unread_files
@@ -698,6 +699,45 @@ def issues_by_org_captioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facets.with_captions(issues_by_org(spark, sf_dir))
 
 
+def _merged_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partials after two nights: all issues, then the closed ones again, with other values."""
+
+    def publish(path: str) -> None:
+        table, schema = scratch_path(spark, "issues"), issue_schema()
+        rows = issues(spark, sf_dir).drop(tables.PARTITION_COLUMN)
+        tables.write_partition(rows, table, OLD_DATE)
+        merge_snapshot(spark, table, path, schema, buckets=8)
+        figures.refresh_figures(spark, path, schema)
+        edited = rows.filter("state = 'closed'").withColumns(
+            {
+                "sentiment": -F.col("sentiment"),
+                "org": F.concat(F.lit("neu "), "org"),
+                LABELS: F.concat(LABELS, F.array(F.lit("EU"))),
+            }
+        )
+        tables.write_partition(edited, table, NEW_DATE)
+        merge_snapshot(spark, table, path, schema)
+        figures.refresh_figures(spark, path, schema)
+
+    return figures.read_figures(spark, _once(spark, sf_dir, "figures", publish))
+
+
+@query
+def merged_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(figures.overview(_merged_figures(spark, sf_dir)), "mean_sentiment")
+
+
+@query
+def merged_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All grouped figures from partials, one row per dimension and value."""
+    merged = _merged_figures(spark, sf_dir).filter(F.col("dimension") != figures.ALL)
+    grouped = merged.groupBy("dimension", "value").agg(
+        F.sum("n").alias("n_issues"),
+        (F.sum("scores") / F.sum("n_scores")).alias("mean_sentiment"),
+    )
+    return rounded(grouped, "mean_sentiment")
+
+
 # Label and schema quality
 
 
@@ -765,4 +805,28 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.count_by(latest, "form_page")
 
 
+@query
+def incremental_stream_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nights of landings; the second run restarts the stream from its checkpoint.
+
+    Issues of the first night own their text, whoever brings it in the second one.
+    """
+    landing, table = scratch_path(spark, "pages"), scratch_path(spark, "issues")
+    checkpoint = scratch_path(spark, "checkpoint")
+    for night, day in enumerate((OLD_DATE, NEW_DATE)):
+        pages = raw_issues(spark, sf_dir).filter(F.col("iid") % 2 == night)
+        write_issue_pages(pages, landing, mode="append")
+        run_stream(
+            spark, landing, table, checkpoint, day, CFG, dedupe_by_state=True
+        ).awaitTermination()
+    return tables.load_issues(spark, table).select(
+        "iid",
+        "form_page",
+        rounded_sentiment(),
+        text_of(LABELS).alias("labels"),
+        "org",
+        tables.PARTITION_COLUMN,
+    )
+
+
 QUERIES["read_issue_pages"] = QUERIES.pop("read_issue_pages_query")

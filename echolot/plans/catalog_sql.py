@@ -162,6 +162,26 @@ FILTERED = f"""list_contains(labels, {_text(q.FILTER.labels[0])})
 PAIRS = """SELECT a.label AS label_a, b.label AS label_b, count(*) AS n_issues
   FROM exploded a JOIN exploded b USING (iid) WHERE a.label < b.label GROUP BY ALL"""
 
+# The processed table after the closed issues came again with other values.
+EDITED = """edited AS (
+  SELECT iid, created_at, is_from_form, form_page, author_id, author_name,
+    CASE WHEN state = 'closed' THEN -sentiment ELSE sentiment END AS sentiment,
+    CASE WHEN state = 'closed' THEN concat('neu ', org) ELSE org END AS org,
+    CASE WHEN state = 'closed' THEN list_append(labels, 'EU') ELSE labels END AS labels FROM post)"""
+FIGURES = " UNION ALL ".join(
+    f"""SELECT '{dimension}' AS dimension, CAST({value} AS VARCHAR) AS value, count(*) AS n_issues,
+      round(avg(sentiment), 6) AS mean_sentiment FROM {rows} GROUP BY ALL"""
+    for dimension, value, rows in (
+        ("day", "CAST(created_at AS DATE)", "edited"),
+        ("form", "is_from_form", "edited"),
+        ("page", "form_page", "edited"),
+        ("author", "author_name", "edited"),
+        ("author_id", "author_id", "edited"),
+        ("org", "org", "edited"),
+        ("label", "label", "(SELECT sentiment, unnest(labels) AS label FROM edited)"),
+    )
+)
+
 SELECTS = {
     "read_issue_pages": """SELECT iid, title, description, state, created_text AS created_at,
       updated_text AS updated_at, closed_text AS closed_at, author_id, author_name,
@@ -313,6 +333,10 @@ SELECTS = {
     "issues_by_org": _counts("org"),
     "issues_by_org_captioned": """SELECT org AS "Organisation", count(*) AS "Anzahl Issues"
       FROM post GROUP BY org""",
+    "merged_overview": f"""WITH {EDITED} SELECT count(*) AS n_issues,
+      round(avg(sentiment), 6) AS mean_sentiment, count(DISTINCT author_id)
+      + CAST(bool_or(author_id IS NULL) AS INTEGER) AS n_authors FROM edited""",
+    "merged_figures": f"WITH {EDITED} {FIGURES}",
     "assigned_labels": "SELECT DISTINCT label FROM exploded",
     "unassigned_labels": """SELECT label FROM vocabulary
       WHERE label NOT IN (SELECT label FROM exploded)""",
@@ -334,6 +358,22 @@ SELECTS = {
       AS t("column", in_old, in_new, type_old, type_new)""",
     "incremental_stream": """SELECT form_page, count(*) AS n_issues FROM post
       GROUP BY form_page""",
+    "incremental_stream_by_state": f"""SELECT iid, form_page, {SENTIMENT}, {JOINED_LABELS}, org,
+      CASE iid % 2 WHEN 0 THEN DATE '{q.OLD_DATE}' ELSE DATE '{q.NEW_DATE}' END AS processing_date
+      FROM post""",
 }
+# Copies of a text by the night that brought them, then as ever.
+FIRST = "PARTITION BY title, description ORDER BY created_at, iid) = 1),\ndescribed"
+BY_NIGHT = "PARTITION BY title, description ORDER BY iid % 2, created_at, iid) = 1),\ndescribed"
+
+
 
-SQL = {name: f"WITH {RAW.strip()}\n{select}" for name, select in SELECTS.items()}
+def _whole(select: str, common: str = RAW.strip()) -> str:
+    """A select after the shared tables; one with tables of its own adds them to these."""
+    return f"WITH {common}, {select[5:]}" if select.startswith("WITH ") else f"WITH {common}\n{select}"
+
+
+SQL = {name: _whole(select) for name, select in SELECTS.items()}
+SQL["incremental_stream_by_state"] = _whole(
+    SELECTS["incremental_stream_by_state"], RAW.strip().replace(FIRST, BY_NIGHT)
+)

@@ -53,8 +53,13 @@ def facets(df: DataFrame, label_column: str = "labels_v1") -> dict[str, DataFram
 def dashboard(df: DataFrame, f: IssueFilter, seed: int | None = None) -> dict[str, DataFrame]:
     """Lazy frames over one filtered table; each reads only the columns it needs."""
     issues, label = filtered_issues(df, f), f.label_column
+    sample = issue_cards(sample_issues(issues, 1, seed), label)
+    return {"sample": sample, **all_figures(issues, label)}
+
+
+def all_figures(issues: DataFrame, label: str = "labels_v1") -> dict[str, DataFrame]:
+    """The figures of all rows, those without a score among them."""
     return {
-        "sample": issue_cards(sample_issues(issues, 1, seed), label),
         "overview": overview_metrics(issues),
         "per_day": issues_per_day(issues),
         "labels": count_by(issues, label, explode=True, name="label"),

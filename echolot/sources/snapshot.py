@@ -6,7 +6,8 @@ names, for every bucket, the version that wrote it. Readers take the newest comm
 version as a whole until the new one is whole; of two merges at once the later commit fails. If files
 of the table went or changed (a partition was replaced), the snapshot is built anew from the table.
 
-Layout: ``data/version=<n>/bucket=<k>/`` rows, ``files/`` the table's files by version, ``commits/<n>.json``.
+Layout: ``data/version=<n>/bucket=<k>/`` rows, ``files/`` the table's files by version, ``commits/<n>.json``,
+``figures/version=<n>/`` partial aggregates (``plans/figures.py``).
 """
 
 from __future__ import annotations
@@ -134,7 +135,10 @@ def read_current(spark: SparkSession, base: str, schema: T.StructType) -> DataFr
 
 
 def expire(spark: SparkSession, base: str, keep: int = 2) -> int:
-    """Remove bucket folders that none of the newest ``keep`` commits names; returns how many."""
+    """Remove bucket folders, and figures of versions, that none of the newest ``keep`` commits names.
+
+    Returns the number of bucket folders.
+    """
     schema = "version int, buckets array<int>"
     commits = spark.read.schema(schema).json(f"{base}/commits").orderBy(F.desc("version")).collect()
     named = {(v, k) for c in commits[:keep] for k, v in enumerate(c.buckets)}
@@ -143,4 +147,6 @@ def expire(spark: SparkSession, base: str, keep: int = 2) -> int:
     old = [path for path in old if path_exists(spark, path)]
     for path in old:
         remove_path(spark, path)
+    for version in {v for v, _ in written} - {v for v, _ in named}:
+        remove_path(spark, f"{base}/figures/version={version}")
     return len(old)

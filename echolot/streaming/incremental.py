@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import zlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from echolot.config import IngestConfig
 from echolot.functions.iso_time import parse_strict
-from echolot.operators.cleaning import new_issues
+from echolot.operators.cleaning import exclude_ids, new_issues
 from echolot.operators.enrichment import enrich
 from echolot.plans.ingest import Enricher, process_issues
 from echolot.schemas import RAW_SCHEMA
@@ -24,6 +26,23 @@ from echolot.sources.tables import (
     write_known_keys,
     write_partition,
 )
+from echolot.streaming.owners import STATE_CONF, first_owners
+
+
+@contextmanager
+def _settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the start of a query, which keeps them."""
+    before = {name: spark.conf.get(name, None) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def _batch_number(spark: SparkSession, checkpoint: str, number: int) -> int:
@@ -44,24 +63,33 @@ def run_stream(
     keys_path: str | None = None,
     max_files_per_trigger: int | None = None,
     one_page_per_file: bool = False,
+    dedupe_by_state: bool = False,
 ) -> StreamingQuery:
     """Process the files that landed since the last call, then stop.
 
     The checkpoint remembers which files were read. Each micro-batch replaces its own
     partition ``(processing_date, ingest_batch)``, so a batch repeated after a failure
     leaves one result. The batch's number holds the id of the checkpoint's query, so another
-    checkpoint never replaces it. With ``keys_path`` issues are also de-duplicated against all
-    earlier batches.
+    checkpoint never replaces it.
+
+    With ``dedupe_by_state`` issues are also de-duplicated against all earlier batches of the
+    checkpoint, by state that grows by one small entry per distinct text; no batch reads what
+    earlier ones wrote. ``keys_path`` does it with a table of keys instead, which several streams and
+    batch runs can share and which every batch reads whole.
     """
+    if dedupe_by_state and keys_path:
+        raise ValueError("de-duplicate by state or by a table of keys, not by both")
     cfg = cfg or IngestConfig()
 
+    def newer(rows: DataFrame) -> DataFrame:
+        parsed = rows.withColumn("_watermark", parse_strict(F.col(cfg.watermark_column)))
+        return new_issues(parsed, watermark, "_watermark").drop("_watermark")
+
     def ingest(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         batch_id = _batch_number(session, checkpoint, number)
-        parsed = batch.withColumn("_watermark", parse_strict(F.col(cfg.watermark_column)))
-        new = new_issues(parsed, watermark, "_watermark").drop("_watermark")
         known = known_keys(session, keys_path, BATCH_COLUMN, batch_id) if keys_path else None
-        issues = process_issues(new, cfg, enricher, known=known)
+        issues = process_issues(batch, cfg, enricher, known=known)
         write_partition(issues, table, processing_date, batch=batch_id)
         if keys_path:
             day = f"{PARTITION_COLUMN}={processing_date.isoformat()}"
@@ -71,10 +99,14 @@ def run_stream(
     reader = spark.readStream.schema(RAW_SCHEMA).options(**page_options(one_page_per_file))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return (
-        reader.json(landing)
-        .writeStream.foreachBatch(ingest)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    # Row-local, so it runs before the state: an excluded issue owns no text.
+    rows = newer(reader.json(landing))
+    if dedupe_by_state:
+        rows = first_owners(exclude_ids(rows, cfg))
+    with _settings(spark, STATE_CONF if dedupe_by_state else {}):
+        return (
+            rows.writeStream.foreachBatch(ingest)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
