@@ -9,7 +9,9 @@ score is known up to a bound. Going from the most significant slice downward giv
 of the coarse scores; rows within the bound of it are resolved by exact inner products.
 
 Blocks of rows are dealt to lanes and every lane gets all blocks of queries; each pair of blocks returns k rows per
-query. Scores must fit in 64 bits. Vectors that are null or hold null or non-finite components and rows
+query. Scores are exact: where a sum may exceed 64 bits, the boundary rows are resolved with integers of any size,
+and a score among the k best of a block that no 64-bit number holds fails the search. So does a component whose
+scaled value none holds. An empty table gives no rows. Vectors that are null or hold null or non-finite components and rows
 without id take no part. Vectors of different length are not compared. A row is never its own
 candidate, another row with the same id is.
 """
@@ -37,8 +39,10 @@ class Block:
     def __init__(self, values: np.ndarray) -> None:
         self.values = values
         n, _ = values.shape
-        above = (values - values.min(axis=0)).astype(np.uint64)
-        bits = int(above.max()).bit_length() if n else 0
+        # Unsigned, the difference is right also where it exceeds the signed range.
+        above = values.astype(np.uint64) - values.min(axis=0).astype(np.uint64)
+        self.largest = max(abs(int(values.min())), abs(int(values.max()))) if values.size else 0
+        bits = int(above.max()).bit_length() if values.size else 0
         self.drop = max(0, bits - KEEP)
         pad = np.zeros((-n % 64, values.shape[1]), np.uint64)
         above = np.concatenate([above, pad]) >> np.uint64(self.drop)
@@ -99,11 +103,17 @@ class Block:
                     equal, kth = ones, kth + (1 << i)
                 else:
                     above, equal = above | ones, equal & ~slices[i]
-            bound = int(np.abs(query).sum()) * ((1 << self.drop) - 1)
+            bound = sum(map(abs, query.tolist())) * ((1 << self.drop) - 1)
             inside = rows & self._at_least(slices, max(0, kth - (bound >> self.drop) - 1))
         flags = np.unpackbits(inside.view(np.uint8), bitorder="little")
         found = np.flatnonzero(flags)
-        return found, self.values[found] @ query
+        return found, self.exact(found, query)
+
+    def exact(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Inner products; Python integers where a sum may not fit in 64 bits."""
+        if sum(map(abs, query.tolist())) * self.largest < 1 << 63:
+            return self.values[rows] @ query
+        return self.values[rows].astype(object) @ query.astype(object)
 
     def _at_least(self, slices: list[np.ndarray], least: int) -> np.ndarray:
         above, equal = np.zeros_like(self.rows), ~np.zeros_like(self.rows)
@@ -115,15 +125,32 @@ class Block:
         return above | equal
 
 
+def best_rows(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores, ties to the smaller id."""
+    if scores.dtype != object:
+        return np.lexsort((ids, ~scores))[:k]  # the complement falls as the score rises, without overflow
+    best = sorted(range(len(ids)), key=lambda i: (-scores[i], ids[i]))[:k]
+    for i in best:
+        if not -(1 << 63) <= scores[i] < 1 << 63:
+            raise OverflowError(f"the score {scores[i]} of row {ids[i]} exceeds 64 bits")
+    return np.asarray(best, np.int64)
+
+
 def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, id, dim, v): integer vectors of the rows that take part, with a key of the row."""
     x = F.col(vector)
+
+    def scaled(e):
+        value = e.cast("double") * SCALE
+        text = F.concat(F.lit("a component of row "), F.col(key).cast("string"), F.lit(" exceeds 64 bits when scaled"))
+        return F.when(F.abs(value) >= 2.0**63, F.raise_error(text)).otherwise(F.floor(value)).cast("long")
+
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == F.lit(float("inf"))))
     rows = vectors.where(F.col(key).isNotNull() & x.isNotNull() & ~bad).select(
         F.monotonically_increasing_id().alias("row_no"),
         F.col(key).alias("id"),
         F.size(x).alias("dim"),
-        F.transform(x, lambda e: F.floor(e.cast("double") * SCALE).cast("long")).alias("v"),
+        F.transform(x, scaled).alias("v"),
     )
     return staged(rows, "quantised")
 
@@ -182,7 +209,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 out = []
                 for row, query_id, query in zip(q_rows.tolist(), q_ids.tolist(), asked, strict=True):
                     found, scores = block.top(query, k, place.get(row))
-                    best = np.lexsort((ids[found], -scores))[:k]
+                    best = best_rows(ids[found], scores, k)
                     out += [(row, query_id, i, s) for i, s in zip(ids[found[best]], scores[best], strict=True)]
                 yield pd.DataFrame(out, columns=["row_no", "query_id", "id", "score"])
 
