@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from echolot.llm.common import staged, text_or_empty
 
 SCOPE = 200
+CHUNK = 1024  # code points that are cut at once
 BUCKET = 512
 
 
@@ -217,31 +218,50 @@ def redact(docs: DataFrame, mark: str, scope: int = SCOPE) -> DataFrame:
     Overlapping spans are replaced together. Texts without spans, also null ones, are unchanged.
     """
     found = link(staged(candidates(docs), "secret-parts"), scope)
-    by_doc = found.groupBy(F.col("doc_id").alias("f_doc"), F.col("digest").alias("f_digest")).agg(
-        F.sort_array(F.collect_list(F.struct("start", "end"))).alias("f_spans")
-    )
-    # Runs through the spans with the end of the last one: what lies between stays.
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    run = F.aggregate(
-        "f_spans",
-        first,
-        lambda acc, x: F.struct(
-            F.greatest(acc["at"], x["end"]).alias("at"),
-            F.when(x["start"] < acc["at"], acc["out"])
-            .otherwise(
-                F.concat(
-                    acc["out"],
-                    F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int")),
-                    F.lit(mark),
-                )
-            )
-            .alias("out"),
-        ),
+    before = (
+        Window.partitionBy("doc_id", "digest")
+        .orderBy("start", "end")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    rest = F.substring(F.col("text"), (run["at"] + 1).cast("int"), F.length("text"))
-    text = F.when(F.col("f_spans").isNotNull(), F.concat(run["out"], rest)).otherwise(F.col("text"))
+    # What stays lies between the largest end so far and the next start; a span that begins earlier overlaps.
+    upto = F.coalesce(F.max("end").over(before), F.lit(0)).alias("from")
+    gap = F.when(F.col("start") >= F.col("from"), F.struct("from", F.col("start").alias("to")))
+    by_doc = (
+        found.select("doc_id", "digest", "start", "end", upto)
+        .groupBy(F.col("doc_id").alias("f_doc"), F.col("digest").alias("f_digest"))
+        .agg(F.sort_array(F.collect_list(gap)).alias("f_gaps"), F.max("end").alias("f_last"))
+    )
+    rest = F.struct(F.col("f_last").alias("from"), F.length("text").cast("long").alias("to"))
+    kept = F.array_join(_pieces(F.col("text"), F.concat("f_gaps", F.array(rest))), mark)
+    text = F.when(F.col("f_gaps").isNotNull(), kept).otherwise(F.col("text"))
     keyed = docs.withColumn("f_key", F.md5(text_or_empty()))
     joined = keyed.join(
         by_doc, F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("f_key") == F.col("f_digest")), "left"
     )
-    return joined.withColumn("text", text).drop("f_key", "f_doc", "f_digest", "f_spans")
+    return joined.withColumn("text", text).drop("f_key", "f_doc", "f_digest", "f_gaps", "f_last")
+
+
+def _pieces(text: Column, ranges: Column) -> Column:
+    """The pieces of a text at an array of (from, to), in time linear in the text.
+
+    A position counts code points, so each cut would run through the text from its start. The text becomes
+    chunks of ``CHUNK`` code points first, and a piece is put together from those that it touches.
+    """
+
+    def within(chunks: Column, i: Column, piece: Column) -> Column:
+        start = F.greatest(piece["from"], i * CHUNK)
+        size = F.least(piece["to"], (i + 1) * CHUNK) - start
+        return F.substring(
+            F.get(chunks, i.cast("int")), (start - i * CHUNK + 1).cast("int"), size.cast("int")
+        )
+
+    def cut(chunks: Column, piece: Column) -> Column:
+        last = F.greatest(piece["from"], piece["to"] - 1)
+        touched = F.sequence(F.floor(piece["from"] / CHUNK), F.floor(last / CHUNK))
+        return F.array_join(F.transform(touched, lambda i: within(chunks, i, piece)), "")
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    # As an argument of a function the chunks are made once for all pieces.
+    return F.transform(
+        F.array(chunks), lambda once: F.transform(ranges, lambda piece: cut(once, piece))
+    )[0]
