@@ -34,6 +34,8 @@ PLAIN = bytes(
     x if x > 127 else ord(chr(x).lower()) if chr(x).isalpha() else 32 for x in range(256)
 )
 
+MIXTURE = "_mixture"  # the results while they are one column
+
 
 class Model(NamedTuple):
     languages: list[str]
@@ -139,7 +141,10 @@ def infer(texts: list[str], model: Model) -> tuple[np.ndarray, list[np.ndarray]]
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` (its proportion), ``languages`` (the chosen set with its
-    proportions) and ``background`` (the share that fits no language)."""
+    proportions) and ``background`` (the share that fits no language).
+
+    Columns of ``docs`` with one of these names, in any case, give way to the results.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     @F.pandas_udf("lang_pred string, score double, languages string, background double")
@@ -167,4 +172,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 at = end
             yield pd.DataFrame(out, columns=["lang_pred", "score", "languages", "background"])
 
-    return docs.withColumn("_m", run(text)).select("*", "_m.*").drop("_m")
+    results = {"lang_pred", "score", "languages", "background", MIXTURE}
+    kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in results]
+    return docs.select(*kept, run(text).alias(MIXTURE)).select(*kept, f"{MIXTURE}.*")

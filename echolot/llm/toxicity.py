@@ -198,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``score``, the probability of label 1."""
+    """``docs`` with ``score``, the probability of label 1; a column ``score`` of ``docs`` gives way to it."""
     shared = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     @F.pandas_udf("double")
