@@ -27,6 +27,7 @@ from echolot.plans.ingest import process_issues, run_batch
 from echolot.schemas import RAW_SCHEMA, issue_schema
 from echolot.session import scratch_path
 from echolot.sources import tables
+from echolot.sources.backfill import backfill
 from echolot.sources.landing import literal_path, record_files, unread_files
 from echolot.sources.pages import read_issue_pages, write_issue_pages
 from echolot.sources.run_state import RunState, load_run_state, save_run_state, state_frame
@@ -291,6 +292,19 @@ def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, base, rows.schema).drop(tables.BATCH_COLUMN)
 
 
+@query
+def backfill_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition from before the round existed gets it; the newer one, other values in it, stays."""
+    base = scratch_path(spark, "issues")
+    prepared = prepared_issues(spark, sf_dir).select("iid", "created_at", "form_page")
+    rows = tables.write_stage(prepared, scratch_path(spark, "unnumbered"))
+    tables.write_partition(rows, base, OLD_DATE)
+    own = rows.withColumn("feedback_round", F.lit(9).cast("byte"))
+    tables.write_partition(own.filter("iid % 3 = 0"), base, NEW_DATE)
+    backfill(spark, base, "feedback_round", lambda df: cleaning.feedback_round(df, CFG))
+    return tables.load_issues(spark, base)
+
+
 @query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of a whole batch run, observed while it writes."""

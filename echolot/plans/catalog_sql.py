@@ -220,6 +220,10 @@ SELECTS = {
       AS updated_at,
       CASE WHEN state = 'closed' THEN DATE '{q.NEW_DATE}' ELSE DATE '{q.OLD_DATE}' END
       AS processing_date FROM clean""",
+    "backfill_round": f"""SELECT iid, created_at, form_page, feedback_round,
+      DATE '{q.OLD_DATE}' AS processing_date FROM prepared UNION ALL
+      SELECT iid, created_at, form_page, CAST(9 AS TINYINT), DATE '{q.NEW_DATE}'
+      FROM prepared WHERE iid % 3 = 0""",
     "stage_counts": """SELECT 'fetched' AS stage, (SELECT count(*) FROM raw) AS n
       UNION ALL SELECT 'new', (SELECT count(*) FROM fresh)
       UNION ALL SELECT 'prepared', (SELECT count(*) FROM fresh_prepared)
