@@ -112,22 +112,26 @@ def overview(figures: DataFrame, approximate: bool = False) -> DataFrame:
 
     ``approximate`` merges the sketches and reads one row per bucket; else the partials by author are counted.
     """
-    whole = figures.where(F.col("dimension") == ALL)
-    means = whole.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n_issues"),
-        _mean().alias("mean_sentiment"),
-        F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("authors")), F.lit(0)).alias("sketched"),
-    )
-    ids = figures.where(F.col("dimension") == AUTHOR_ID)
+    whole = F.col("dimension") == ALL
+    author = F.col("dimension") == AUTHOR_ID
+    if approximate:
+        author = author & F.col("value").isNull()
+    merged = [F.sum(name).alias(name) for name in ("n", "n_scores", "scores")]
+    if approximate:
+        merged.append(F.hll_sketch_estimate(F.hll_union_agg("authors")).alias("sketched"))
+    values = figures.where(whole | author).groupBy("dimension", "value").agg(*merged)
+
+    def total(name: str) -> Column:
+        return F.sum(F.when(whole, F.col(name)))
+
+    number = F.count(F.when(author, 1))
     if approximate:
-        ids = ids.where(F.col("value").isNull())
-        number = F.col("sketched") + F.col("known")
-    else:
-        number = F.col("known")
-    ids = ids.select("value").distinct().agg(F.count(F.lit(1)).alias("known"))
-    # Two single rows, joined on a constant.
-    both = means.withColumn("_one", F.lit(1)).join(ids.withColumn("_one", F.lit(1)), "_one")
-    return both.select("n_issues", "mean_sentiment", number.alias("n_authors"))
+        number = number + F.coalesce(total("sketched"), F.lit(0))
+    return values.agg(
+        F.coalesce(total("n"), F.lit(0)).alias("n_issues"),
+        F.try_divide(total("scores"), total("n_scores")).alias("mean_sentiment"),
+        number.alias("n_authors"),
+    )
 
 
 def _mean() -> Column:
