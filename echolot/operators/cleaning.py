@@ -27,14 +27,19 @@ def new_issues(
     ``strict`` fails the job on a row without a timestamp. Without it such rows drop and
     the comparison reaches a Parquet scan as a pushed filter.
     """
+    return df if watermark is None else df.filter(later_than(watermark, column, strict))
+
+
+def later_than(watermark: datetime | None, column: str, strict: bool = True) -> Column:
+    """Whether a row is later than the watermark, as in ``new_issues``."""
     if watermark is None:
-        return df
+        return F.lit(True)
     # As text, because a datetime literal would pass through the time zone of the session.
     later = F.col(column) > F.lit(watermark.isoformat(" ")).cast("timestamp_ntz")
     if strict:
         missing = F.raise_error(F.lit(f"issue without {column}")).cast("boolean")
         later = F.when(F.col(column).isNull(), missing).otherwise(later)
-    return df.filter(later)
+    return later
 
 
 def flatten_author(df: DataFrame) -> DataFrame:

@@ -28,8 +28,16 @@ from echolot.schemas import RAW_SCHEMA, issue_schema
 from echolot.session import scratch_path
 from echolot.sources import tables
 from echolot.sources.backfill import backfill
+from echolot.sources.drift import (
+    BAD,
+    QUARANTINE_SCHEMA,
+    RESCUED,
+    field_kinds,
+    read_drifting_pages,
+)
 from echolot.sources.landing import literal_path, record_files, unread_files
 from echolot.sources.pages import read_issue_pages, write_issue_pages
+from echolot.sources.run_log import committed_runs, load_committed, start_run, write_run
 from echolot.sources.run_state import RunState, load_run_state, save_run_state, state_frame
 from echolot.sources.snapshot import merge_snapshot, read_current
 from echolot.sources.vocabulary import load_label_vocab as load_vocab
@@ -62,6 +70,7 @@ PHRASES = (
     ("Standards", "thor"),
     ("Künstliche Intelligenz", "and the"),
 )
+SECOND_NIGHT = "2026-01-15T12"  # as the start of an ISO time
 SAMPLE_SIZE = 5
 SAMPLE_SEED = 42
 
@@ -278,6 +287,80 @@ def infer_issue_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def drifting_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Pages of one record, many of them drifted: a new field, texts for numbers, cut pages, a number as record."""
+    raw = raw_issues(spark, sf_dir)
+    tenth, fiftieth = F.col("iid") % 10, F.col("iid") % 50
+    pic = F.when(tenth == 4, F.lit("p"))
+    record = F.to_json(
+        F.struct(
+            *[c for c in raw.columns if c != "author"],
+            F.struct("author.*", pic.alias("pic")).alias("author"),
+            F.when(tenth == 1, F.col("iid")).alias("weight"),
+        )
+    )
+    # A quote inside a text is escaped, so only the fields themselves are met.
+    record = F.when(tenth == 2, F.regexp_replace(record, '"upvotes":([0-9]+)', '"upvotes":"$1 up"')).otherwise(record)
+    record = F.when(tenth == 3, F.regexp_replace(record, '"iid":([0-9]+)', '"iid":"$1"')).otherwise(record)
+    rest = F.when(fiftieth == 9, "").when(fiftieth == 19, F.concat(F.lit(","), "iid", F.lit("]"))).otherwise("]")
+    landing = scratch_path(spark, "pages")
+    raw.select(F.concat(F.lit("["), record, rest).alias("value")).write.text(landing)
+    return landing
+
+
+@query
+def drifting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that drifted: what fits the schema, what was rescued, and why a record is bad."""
+    drift = F.transform(RESCUED, lambda e: F.concat(e["field"], F.lit("="), e["value"]))
+    good = F.col(BAD).isNull()
+    return read_drifting_pages(spark, drifting_landing(spark, sf_dir)).select(
+        *[F.when(good, F.col(name)).alias(name) for name in ("iid", "title", "description", "upvotes")],
+        F.when(good, F.col("author.id")).alias("author_id"),
+        F.col(f"{BAD}.reason").alias("reason"),
+        F.array_join(drift, ";").alias("drift"),
+    )
+
+
+@query
+def page_field_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which kinds of value all fields of the landed records hold."""
+    return field_kinds(spark, drifting_landing(spark, sf_dir))
+
+
+@query
+def quarantined_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over drifted pages: its counts, and what its side table holds."""
+    side = scratch_path(spark, "quarantine")
+    run = run_batch(
+        spark,
+        drifting_landing(spark, sf_dir),
+        scratch_path(spark, "issues"),
+        scratch_path(spark, "state"),
+        NEW_DATE,
+        CFG,
+        quarantine=side,
+    )
+    names = ("fetched", "new", "saved", "bad", "rescued")
+    counts = spark.createDataFrame([(name, None, getattr(run, name)) for name in names], "reason string, field string, n long")
+    rows = spark.read.schema(QUARANTINE_SCHEMA).parquet(side)
+    return counts.unionByName(rows.groupBy("reason", "field").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query
+def two_step_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two committed runs with keys and a manifest; a run between them was written, but never committed."""
+    landing, table, log = (scratch_path(spark, name) for name in ("pages", "issues", "log"))
+    raw = raw_issues(spark, sf_dir)
+    early = F.col("created_at") <= SECOND_NIGHT
+    lists = {"run_log": log, "manifest": log, "keys_path": log}
+    write_issue_pages(raw.filter(early), landing)
+    run_batch(spark, landing, table, "", OLD_DATE, CFG, **lists)
+    write_run(load_committed(spark, table, log).drop(tables.PARTITION_COLUMN), table, start_run(committed_runs(spark, log), NEW_DATE))
+    write_issue_pages(raw.filter(~early), landing, mode="append")
+    run_batch(spark, landing, table, "", NEW_DATE, CFG, **lists)
+    return load_committed(spark, table, log).select("iid", "created_at", "author_name", "feedback_round", "processing_date")
+
+
 @query
 def snapshot_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A snapshot of one partition, brought up to a later one with the closed issues, updated."""

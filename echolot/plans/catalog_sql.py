@@ -182,6 +182,37 @@ FIGURES = " UNION ALL ".join(
     )
 )
 
+# Fields of a landed record with the kinds of their values, and when a record has them.
+KINDS = " UNION ALL ".join(
+    f"""SELECT '{field}' AS field, {f"'{expected}'" if expected else "CAST(NULL AS VARCHAR)"} AS expected,
+      '{found}' AS found, count(*) AS n FROM raw WHERE iid % 50 <> 9 AND {condition} HAVING count(*) > 0"""
+    for field, expected, found, condition in (
+        ("iid", "long", "BIGINT", "iid % 10 <> 3"),
+        ("iid", "long", "STRING", "iid % 10 = 3"),
+        ("title", "string", "STRING", "title IS NOT NULL"),
+        ("description", "string", "STRING", "description IS NOT NULL"),
+        ("state", "string", "STRING", "true"),
+        ("created_at", "string", "STRING", "true"),
+        ("updated_at", "string", "STRING", "updated_text IS NOT NULL"),
+        ("closed_at", "string", "STRING", "closed_text IS NOT NULL"),
+        ("author", "struct", "OBJECT", "true"),
+        ("author.id", "long", "BIGINT", "author_id IS NOT NULL"),
+        ("author.name", "string", "STRING", "true"),
+        ("author.state", "string", "STRING", "true"),
+        ("author.pic", None, "STRING", "iid % 10 = 4"),
+        ("user_notes_count", "long", "BIGINT", "user_notes_count IS NOT NULL"),
+        ("upvotes", "long", "BIGINT", "iid % 10 <> 2 AND upvotes IS NOT NULL"),
+        ("upvotes", "long", "STRING", "iid % 10 = 2 AND upvotes IS NOT NULL"),
+        ("downvotes", "long", "BIGINT", "downvotes IS NOT NULL"),
+        ("references", "struct", "OBJECT", "true"),
+        ("references.short", "string", "STRING", "true"),
+        ("references.relative", "string", "STRING", "true"),
+        ("references.full", "string", "STRING", "true"),
+        ("weight", None, "BIGINT", "iid % 10 = 1"),
+    )
+)
+RESCUED_FIELD = "CASE iid % 10 WHEN 1 THEN 'weight' WHEN 2 THEN 'upvotes' WHEN 4 THEN 'author.pic' END"
+
 SELECTS = {
     "read_issue_pages": """SELECT iid, title, description, state, created_text AS created_at,
       updated_text AS updated_at, closed_text AS closed_at, author_id, author_name,
@@ -215,6 +246,31 @@ SELECTS = {
     "read_new_landings": """SELECT iid, title, description, created_text AS created_at FROM raw
       WHERE iid % 10 = 0""",
     "infer_issue_pages": """SELECT iid, title, closed_text AS closed_at, upvotes, author_id FROM raw""",
+    "drifting_pages": """SELECT iid, title, description,
+      CASE WHEN iid % 10 <> 2 THEN upvotes END AS upvotes, author_id, CAST(NULL AS VARCHAR) AS reason,
+      CASE iid % 10 WHEN 1 THEN concat('weight=', iid) WHEN 2 THEN concat('upvotes="', upvotes, ' up"')
+        WHEN 4 THEN 'author.pic="p"' ELSE '' END AS drift
+      FROM raw WHERE iid % 50 <> 9 UNION ALL
+      SELECT NULL, NULL, NULL, NULL, NULL, CASE iid % 50 WHEN 9 THEN 'page' ELSE 'record' END, ''
+      FROM raw WHERE iid % 50 IN (9, 19)""",
+    "page_field_kinds": KINDS,
+    "quarantined_run": f"""WITH fit AS (SELECT * FROM fresh WHERE iid % 50 <> 9),
+      fit_clean AS (SELECT * FROM fit WHERE iid NOT IN {_in(EXCLUDED_IIDS)}
+        QUALIFY row_number() OVER (PARTITION BY title, description ORDER BY created_at, iid) = 1)
+      SELECT 'fetched' AS reason, CAST(NULL AS VARCHAR) AS field, count(*) AS n FROM raw WHERE iid % 50 <> 9
+      UNION ALL SELECT 'new', NULL, count(*) FROM fit
+      UNION ALL SELECT 'saved', NULL, count(*) FROM fit_clean
+        WHERE replace(description, {_text(BOILERPLATE)}, '') NOT IN {_in(EXCLUDED_DESCRIPTIONS)}
+        AND NOT coalesce(starts_with(title, {_text(FORM_PREFIX)})
+          AND trim(substr(title, {len(FORM_PREFIX) + 1}), {_text(WHITE_SPACE)}) IN {_in(EXCLUDED_PAGES)}, false)
+      UNION ALL SELECT 'bad', NULL, count(*) FROM raw WHERE iid % 50 IN (9, 19)
+      UNION ALL SELECT 'rescued', NULL, count(*) FROM fit WHERE iid % 10 IN (1, 2, 4)
+      UNION ALL SELECT 'page', NULL, count(*) FROM raw WHERE iid % 50 = 9 HAVING count(*) > 0
+      UNION ALL SELECT 'record', NULL, count(*) FROM raw WHERE iid % 50 = 19 HAVING count(*) > 0
+      UNION ALL SELECT 'field', {RESCUED_FIELD}, count(*) FROM fit WHERE iid % 10 IN (1, 2, 4) GROUP BY 2""",
+    "two_step_runs": f"""SELECT iid, created_at, author_name, CAST(2 AS TINYINT) AS feedback_round,
+      CASE WHEN created_text <= '{q.SECOND_NIGHT}' THEN DATE '{q.OLD_DATE}' ELSE DATE '{q.NEW_DATE}' END
+      AS processing_date FROM fresh_prepared WHERE NOT excluded_page""",
     "snapshot_merge": f"""SELECT iid, state,
       CASE WHEN state = 'closed' THEN updated_at + INTERVAL 1 DAY ELSE updated_at END
       AS updated_at,

@@ -36,13 +36,13 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
 
 
-def unread_files(spark: SparkSession, folder: str, manifest: str) -> list[LandedFile]:
-    """The files of a folder that the manifest lacks, in the order of their paths.
+def unread_files(spark: SparkSession, folder: str, manifest: str | DataFrame | None) -> list[LandedFile]:
+    """The files of a folder that the manifest, a path or its rows, lacks, in the order of their paths.
 
     The list lies on the driver, as Spark's own list of the files of a read does.
     """
     files = list_files(spark, folder)
-    known = read_existing(spark, manifest, FILE_SCHEMA)
+    known = read_existing(spark, manifest, FILE_SCHEMA) if isinstance(manifest, str) else manifest
     if known is not None:
         files = files.join(known, ["path", "modified", "bytes"], "left_anti")
     return [LandedFile(*row) for row in files.orderBy("path").collect()]

@@ -114,9 +114,16 @@ def known_keys(
     return keys.filter(other | (F.col(column) == F.lit(run))) if own else keys.filter(other)
 
 
-def not_yet_written(df: DataFrame, partition: str) -> DataFrame:
-    """The rows whose version of an issue a partition lacks, so that a repeated append adds nothing."""
-    written = read_existing(df.sparkSession, partition, "iid long, updated_at timestamp_ntz")
+def not_yet_written(df: DataFrame, partition: str | Sequence[str]) -> DataFrame:
+    """The rows whose version of an issue a partition lacks, so that a repeated append adds nothing.
+
+    The partition is a path or some folders with its rows.
+    """
+    spark, schema = df.sparkSession, "iid long, updated_at timestamp_ntz"
+    if isinstance(partition, str):
+        written = read_existing(spark, partition, schema)
+    else:
+        written = spark.read.schema(schema).parquet(*partition) if partition else None
     if written is None:
         return df
     written = written.select(F.col("iid").alias("_iid"), F.col("updated_at").alias("_updated"))
