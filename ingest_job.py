@@ -38,7 +38,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Ingest newly landed issue pages.")
     parser.add_argument("--landing", required=True, help="folder of landed pages")
     parser.add_argument("--table", required=True, help="processed table")
-    parser.add_argument("--state", required=True, help="folder of the run state")
+    parser.add_argument("--state", help="folder of the run state; needed without --run-log")
+    parser.add_argument("--run-log", help="log of commits: rows and state of a run are published together")
     parser.add_argument("--keys", help="content keys, to de-duplicate against earlier runs")
     parser.add_argument("--date", type=date.fromisoformat, help="processing date, UTC today if unset")
     parser.add_argument("--mode", choices=("overwrite", "append"))
@@ -46,9 +47,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--config", type=config_file, default=IngestConfig(), help="JSON file of settings")
     parser.add_argument("--parity", action="store_true", help="watermark and partitions as the original has them")
     parser.add_argument("--max-failed-share", type=float, default=1.0, help="of failed scorer calls")
+    parser.add_argument("--quarantine", help="table of drifted fields and bad records, which else end the run")
+    parser.add_argument("--max-bad-share", type=float, default=1.0, help="of landed records")
     parser.add_argument("--page-files", action="store_true", help="each file is one page")
     parser.add_argument("--input-bytes", type=int, default=0, help="expected size of new pages")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if not (args.state or args.run_log):
+        parser.error("--state or --run-log is needed")
+    return args
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -62,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
             spark,
             args.landing,
             args.table,
-            args.state,
+            args.state or "",
             args.date or datetime.now(UTC).date(),
             mode=args.mode,
             cfg=args.config,
@@ -70,18 +76,22 @@ def main(argv: list[str] | None = None) -> int:
             keys_path=args.keys,
             manifest=args.manifest,
             max_failed_share=args.max_failed_share,
+            quarantine=args.quarantine,
+            max_bad_share=args.max_bad_share,
+            run_log=args.run_log,
             one_page_per_file=args.page_files,
         )
     except Exception:
         logger.exception("ingest failed; the run state is unchanged")
         return 1
     logger.info(
-        "fetched %d, new %d, prepared %d, saved %d, failed scorer calls %d; next run starts after %s",
+        "fetched %d, new %d, prepared %d, saved %d, failed scorer calls %d, bad records %d; next run starts after %s",
         run.fetched,
         run.new,
         run.prepared,
         run.saved,
         run.failed,
+        run.bad,
         run.state.last_successful_run,
     )
     return 0
