@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
-from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +16,7 @@ from echolot.operators.cleaning import exclude_ids, new_issues
 from echolot.operators.enrichment import enrich
 from echolot.plans.ingest import Enricher, process_issues
 from echolot.schemas import RAW_SCHEMA
+from echolot.session import settings
 from echolot.sources.pages import page_options
 from echolot.sources.tables import (
     BATCH_COLUMN,
@@ -29,22 +28,6 @@ from echolot.sources.tables import (
 from echolot.streaming.owners import STATE_CONF, first_owners
 
 
-@contextmanager
-def _settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
-    """Session settings for the start of a query, which keeps them."""
-    before = {name: spark.conf.get(name, None) for name in conf}
-    for name, value in conf.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def _batch_number(spark: SparkSession, checkpoint: str, number: int) -> int:
     """A number for a micro-batch that no other checkpoint gives."""
     query = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -103,7 +86,7 @@ def run_stream(
     rows = newer(reader.json(landing))
     if dedupe_by_state:
         rows = first_owners(exclude_ids(rows, cfg))
-    with _settings(spark, STATE_CONF if dedupe_by_state else {}):
+    with settings(spark, STATE_CONF if dedupe_by_state else {}):
         return (
             rows.writeStream.foreachBatch(ingest)
             .option("checkpointLocation", checkpoint)
