@@ -38,6 +38,8 @@ MEMO = 600_000
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WINDOW = 1 << 16
 STEP = 64
+TAIL = 3
+SHORT = range(TAIL - 1, 0, -1)
 #: White space of the Unicode property, as the tokenizer's expressions have it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -104,6 +106,18 @@ class Merges:
         #: Symbols that decide the next token: the longest token of the merge list.
         self.lookahead = max(sizes.values(), default=1)
         self.fits_memo: dict[tuple[int, int], bool] = {}
+        self.ends_memo: dict[str, tuple[int, int]] = {}
+        self.sizes, self.end_sizes = self._sizes(""), self._sizes(self.end)
+
+    def _sizes(self, mark: str) -> dict[str, list[int]]:
+        """By a token's last ``TAIL`` symbols before a mark: how many symbols such tokens have, longest first,
+        and all smaller numbers."""
+        found: dict[str, set[int]] = {}
+        for token in self.made:
+            n = len(token) - len(mark)
+            if token.endswith(mark) and TAIL <= n <= self.lookahead:
+                found.setdefault(token[n - TAIL : n], set()).add(n)
+        return {tail: sorted(sizes | set(range(1, TAIL)), reverse=True) for tail, sizes in found.items()}
 
     def apart(self, a: int, b: int, before: int) -> bool:
         """Whether no merge of a rank below ``before`` joins the edges of two neighbours.
@@ -147,23 +161,35 @@ class Transducer:
         return self._take(len(self.text), self.m.end) if self.text else []
 
     def _ends(self, n: int, mark: str = "") -> tuple[int, int]:
-        """The token that ends the encoding of the first n symbols; worked out when asked for."""
-        last = self.last
-        if n in last and not mark:
-            return last[n]
-        made, known = self.m.made, self.m.fits_memo
-        text = self.text[:n] + mark
-        for at in range(max(0, n - self.m.lookahead), n):
-            if (token := made.get(text[at:])) is None:
+        """The token that ends the encoding of the first n symbols; worked out when asked for.
+
+        It depends on these symbols alone, so short ones are remembered for other words that begin so.
+        """
+        last, m = self.last, self.m
+        head = self.text[:n]
+        if mark:
+            text, sizes = head + mark, m.end_sizes
+        else:
+            if (got := last.get(n) or m.ends_memo.get(head)) is not None:
+                last[n] = got
+                return got
+            text, sizes = head, m.sizes
+        made, known = m.made, m.fits_memo
+        for size in sizes.get(head[-TAIL:], SHORT):
+            if (at := n - size) < 0 or (token := made.get(text[at:])) is None:
                 continue
             if at:
-                before = (last[at] if at in last else self._ends(at))[0]
+                before = (last.get(at) or self._ends(at))[0]
                 fit = known.get((before, token))
-                if not (self.m.fits(before, token) if fit is None else fit):
+                if not (m.fits(before, token) if fit is None else fit):
                     continue
             if not mark:
-                last[n] = token, n - at
-            return token, n - at
+                last[n] = token, size
+                if n <= m.lookahead:
+                    if len(m.ends_memo) > MEMO // 4:
+                        m.ends_memo.clear()
+                    m.ends_memo[head] = last[n]
+            return token, size
         raise ValueError(f"the vocabulary has no token for {text[n - 1]!r}")
 
     def _take(self, upto: int, mark: str = "") -> list[int]:
@@ -174,7 +200,7 @@ class Transducer:
             out.append(token)
             at -= size
         self.text = self.text[upto:]
-        self.last = {n - upto: got for n, got in self.last.items() if n > upto}
+        self.last = {n - upto: got for n, got in self.last.items() if n > upto} if self.text else {}
         return out[::-1]
 
     def _stable(self, known: int) -> list[int]:
@@ -205,7 +231,7 @@ class Encoder:
         self.words = regex.compile(spec.pattern.replace(r"\s", SPACE))
         self.spaces = re.compile(f"[{SPACE}]")
         self.memo: dict[str, tuple[int, ...]] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
 
     def word(self, word: str) -> list[int]:
         run, data = Transducer(self.merges), word.encode("utf-8", "surrogatepass")
@@ -246,10 +272,15 @@ class Encoder:
         known, out = self.known, []
         if len(known) > MEMO:
             known.clear()
-        for word in self.words.findall(run):
+        words = self.words.findall(run)
+        if words == [run]:  # one object serves both memories
+            words = [run]
+        for word in words:
             ids = known.get(word)
             if ids is None:
-                ids = known[word] = self.word(word)
+                ids = known[word] = tuple(self.word(word))
+            if len(words) == 1:
+                return ids
             out += ids
         return tuple(out)
 

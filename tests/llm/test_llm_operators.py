@@ -151,6 +151,25 @@ def test_bpe_transducer_keeps_little(texts):
     assert held <= 8 * run.m.lookahead
 
 
+def test_bpe_words_that_begin_alike_share_their_search():
+    merges = bpe_stream.Merges(bpe_stream.load(tokenizer_path()))
+    searched = []
+
+    class Counted(dict):
+        def get(self, key):
+            searched.append(key)
+            return dict.get(self, key)
+
+    merges.made = Counted(merges.made)
+    counts = []
+    for word in ("verstehenendeax", "verstehenendeau", "verstehenendeau"):
+        run = bpe_stream.Transducer(merges)
+        assert run.feed(word) == [] and run.finish()
+        counts.append(len(searched))
+        searched.clear()
+    assert counts[0] < 2 * len(word) and counts[2] < counts[1]
+
+
 def test_bpe_round_trip_of_bytes():
     spec = bpe_stream.load(tokenizer_path())
     encoder, decoder = bpe_stream.Encoder(spec), bpe_stream.Decoder(bpe_stream.text_pieces(spec), b"")
