@@ -343,8 +343,8 @@ def nearest_anchors(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, anchor, n, anchor_n, d, outside, marks): ``d`` holds what only one of the node and its anchor
-    has, what the anchor lacks first; ``outside`` nodes are not similar to their anchor. The marks are a
+    """(node, anchor, n, anchor_n, outside, marks, d): ``d`` holds what only one of the node and its anchor
+    has, rare ones first; ``outside`` nodes are not similar to their anchor. The marks are a
     bitmap of ``d``: sets differ by at least as many shingles as their bitmaps by bits.
 
     Nodes that differ by much from their anchor are left out.
@@ -363,7 +363,20 @@ def differences_to(docs: DataFrame, nodes: DataFrame, anchors: DataFrame, width:
         return a, b, len(own), len(other), d.astype(np.int64), apart > allowed, *np.packbits(marks).view(np.int64).tolist()
 
     schema = "node long, anchor long, n int, anchor_n int, d array<long>, outside boolean, " + ", ".join(f"{m} long" for m in MARKS)
-    return _both_sets(docs, nodes, anchors, width, schema, difference, "differences")
+    found = _both_sets(docs, nodes, anchors, width, schema, difference, "differences")
+    ranked = staged(rare_first(found), "ranked-differences")
+    discard(found)
+    return ranked
+
+
+def rare_first(differences: DataFrame) -> DataFrame:
+    """``differences`` with each ``d`` in an order that all nodes of an anchor share: by how many of them list
+    a shingle, then by the shingle. The prefixes of these sets then meet in short lists."""
+    posts = differences.select("node", "anchor", F.explode("d").alias("token"))
+    counts = posts.groupBy("anchor", "token").agg(F.count(F.lit(1)).alias("k"))
+    ranked = F.array_sort(F.collect_list(F.struct("k", "token")))
+    own = posts.join(counts, ["anchor", "token"]).groupBy("node").agg(ranked.getField("token").alias("d"))
+    return differences.drop("d").join(own, "node")
 
 
 def _anchored_postings(differences: DataFrame, known: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -426,8 +439,8 @@ def anchored_links(differences: DataFrame, known: DataFrame, percent: int) -> Da
     scale, slack = 100 + percent, 100 - percent
     rows, posts = _anchored_postings(differences, known, percent)
     a, b = posts.where("outside").alias("a"), posts.where("at < prefix").alias("b")
-    # What two differences can share if they share the shingles at these places.
-    shared = F.least("a.at", "b.at") + 1 + F.least(F.expr("a.size - a.at - 1"), F.expr("b.size - b.at - 1"))
+    # What two differences can share if the shingles at these places are the first that they share.
+    shared = F.least(F.expr("a.size - a.at"), F.expr("b.size - b.at"))
     meets = (
         (F.col("a.anchor") == F.col("b.anchor"))
         & (F.col("a.token") == F.col("b.token"))

@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 
-from echolot.llm import common, minmax_dedup
+from echolot.llm import common, minmax_dedup, ngram_join
 from echolot.llm.ngram_join import Shingler
 from echolot.llm.queries import QUERIES
 
@@ -116,3 +116,27 @@ def test_written_stages_go_when_they_were_read(spark, tmp_path, monkeypatch):
     left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
     assert {"bands", "postings", "texts"} <= set(made)
     assert not left & {"bands", "banded-nodes", "postings", "labelled", "open-postings", "wanted", "texts", "pairs"}
+
+
+def test_near_copies_that_are_not_similar_make_few_pairs(spark, monkeypatch):
+    """Copies that lack many of the same shingles meet by the rare ones that they have of their own."""
+    met = {}
+    plain = ngram_join.staged
+
+    def counted(df, name):
+        table = plain(df, name)
+        met.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):
+        words = list(base)
+        for k in [*range(4, 16, 4), *draw.sample(range(20, 120), draw.randrange(4, 9))]:
+            words[k] = f"x{draw.randrange(4)}" if k % 3 else f"{i}y{k}"
+        rows.append((i, " ".join(words)))
+    got = [tuple(r) for r in minmax_dedup.dedupe(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+    assert met["differences"][0] > 100 and sum(met["anchored-pairs"]) < 50
