@@ -9,7 +9,8 @@ depends on the merge list and not on the text. A symbol is read one step late, b
 a word carries the end mark.
 
 Two neighbouring tokens fit if the merge list, applied to the symbols of both, keeps them apart, which the
-tokens at their meeting edges decide; answers are remembered. Words are remembered too, both up to a bound.
+tokens at their meeting edges decide; answers are remembered. Words are remembered too, all up to a bound: an
+executor may hold several idle workers, each with an encoder, beside those that run.
 
 Decoding feeds the bytes of each token to an incremental UTF-8 machine, which holds at most an
 unfinished character; with a byte-level alphabet it gives back the text, without a decoder in the
@@ -34,11 +35,16 @@ from pyspark.sql import functions as F
 
 from echolot.llm.common import text_or_empty
 
-MEMO = 600_000
+#: Answers that are remembered: pairs of tokens, beginnings of words, and words by their symbols, ``ENTRY`` more each.
+PAIRS = 200_000
+HEADS = 100_000
+ENTRY = 16
+SYMBOLS = 200_000 * (ENTRY + 8)
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WINDOW = 1 << 16
 STEP = 64
 TAIL = 3
+Ids = tuple[int, ...]
 SHORT = range(TAIL - 1, 0, -1)
 #: White space of the Unicode property, as the tokenizer's expressions have it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -77,11 +83,11 @@ class Merges:
     """The merge list over token ids, and what follows from it."""
 
     def __init__(self, spec: Spec) -> None:
-        self.vocab, self.end = spec.vocab, spec.end
+        vocab, self.end = spec.vocab, spec.end
         self.rank: dict[tuple[int, int], tuple[int, int]] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         for i, (a, b) in enumerate(spec.merges):
-            pair, made = (self.vocab[a], self.vocab[b]), self.vocab[a + b]
+            pair, made = (vocab[a], vocab[b]), vocab[a + b]
             self.rank.setdefault(pair, (i, made))
             self.parts.setdefault(made, pair)
         never = len(spec.merges)
@@ -91,15 +97,15 @@ class Merges:
         self.left: dict[int, list[tuple[int, int]]] = {}
         sizes: dict[int, int] = {}
         self.made: dict[str, int] = {}
-        for token in self.vocab.values():
+        for token in vocab.values():
             if token not in self.parts:
                 self.right[token] = self.left[token] = [(token, never)]
-        spelling = {i: t for t, i in self.vocab.items()}
+        spelling = {i: t for t, i in vocab.items()}
         self.made.update((spelling[t], t) for t in self.right)
         for made, (a, b) in self.parts.items():  # in the order of the list: parts come first
             rank = self.rank[a, b][0]
-            self.right[made] = [(made, never)] + [(t, min(d, rank)) for t, d in self.right[b]]
-            self.left[made] = [(made, never)] + [(t, min(d, rank)) for t, d in self.left[a]]
+            self.right[made] = [(made, never)] + [x if x[1] <= rank else (x[0], rank) for x in self.right[b]]
+            self.left[made] = [(made, never)] + [x if x[1] <= rank else (x[0], rank) for x in self.left[a]]
             sizes[made] = sizes.get(a, 1) + sizes.get(b, 1)
             if self.made.get(spelling[a]) == a and self.made.get(spelling[b]) == b and self.apart(a, b, rank):
                 self.made[spelling[made]] = made
@@ -137,7 +143,7 @@ class Merges:
         got = self.fits_memo.get((a, b))
         if got is None:
             got = self.apart(a, b, len(self.rank) + 1)
-            if len(self.fits_memo) > MEMO:
+            if len(self.fits_memo) >= PAIRS:
                 self.fits_memo.clear()
             self.fits_memo[a, b] = got
         return got
@@ -186,7 +192,7 @@ class Transducer:
             if not mark:
                 last[n] = token, size
                 if n <= m.lookahead:
-                    if len(m.ends_memo) > MEMO // 4:
+                    if len(m.ends_memo) >= HEADS:
                         m.ends_memo.clear()
                     m.ends_memo[head] = last[n]
             return token, size
@@ -221,6 +227,34 @@ class Transducer:
         return self._take(keep)
 
 
+class Several(tuple):
+    """Ids of what holds several words, or none."""
+
+    __slots__ = ()
+
+
+class Memory:
+    """Ids by word in two generations: a full one becomes the old one, whose words come back when met again."""
+
+    def __init__(self, symbols: int) -> None:
+        self.symbols, self.held = symbols, 0
+        self.new: dict[str, Ids] = {}
+        self.old: dict[str, Ids] = {}
+
+    def turn(self) -> None:
+        """Makes room, if need be."""
+        if self.held > self.symbols:
+            self.new, self.old, self.held = {}, self.new, 0
+
+    def get(self, word: str) -> Ids | None:
+        got = self.new.get(word)
+        return self.old.get(word) if got is None else got
+
+    def put(self, word: str, ids: Ids) -> None:
+        self.new[word] = ids
+        self.held += ENTRY + len(word)
+
+
 class Encoder:
     def __init__(self, spec: Spec) -> None:
         self.merges = Merges(spec)
@@ -230,8 +264,8 @@ class Encoder:
         self.marks = re.compile(f"({marks})") if marks else None
         self.words = regex.compile(spec.pattern.replace(r"\s", SPACE))
         self.spaces = re.compile(f"[{SPACE}]")
-        self.memo: dict[str, tuple[int, ...]] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        # What stands between white space, and words of those that hold several.
+        self.runs, self.parts = Memory(SYMBOLS), Memory(SYMBOLS // 4)
 
     def word(self, word: str) -> list[int]:
         run, data = Transducer(self.merges), word.encode("utf-8", "surrogatepass")
@@ -260,29 +294,30 @@ class Encoder:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         # Python splits at four control characters more than the tokenizer does.
         runs = text.split() if SEPARATORS.search(text) is None else self.spaces.split(text)
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        for run in set(runs).difference(memo):
-            memo[run] = self._run(run)
-        return list(chain.from_iterable(map(memo.__getitem__, runs)))
-
-    def _run(self, run: str) -> tuple[int, ...]:
+        memory = self.runs
+        memory.turn()
+        known, old = memory.new, memory.old
+        for run in set(runs).difference(known):
+            got = old.get(run)
+            memory.put(run, self._run(run) if got is None else got)
+        return list(chain.from_iterable(map(known.__getitem__, runs)))
+
+    def _run(self, run: str) -> Ids:
         """Ids of what stands between white space; its words are remembered too."""
-        known, out = self.known, []
-        if len(known) > MEMO:
-            known.clear()
-        words = self.words.findall(run)
-        if words == [run]:  # one object serves both memories
-            words = [run]
+        words, out, parts = self.words.findall(run), [], self.parts
+        if words == [run]:
+            ids = parts.get(run)
+            return tuple(self.word(run)) if ids is None else ids
+        parts.turn()
         for word in words:
-            ids = known.get(word)
+            ids = parts.get(word)
             if ids is None:
-                ids = known[word] = tuple(self.word(word))
-            if len(words) == 1:
-                return ids
+                ids = self.runs.get(word)
+                if ids is None or isinstance(ids, Several):
+                    ids = tuple(self.word(word))
+                parts.put(word, ids)
             out += ids
-        return tuple(out)
+        return Several(out)
 
 
 class Decoder:
@@ -321,16 +356,17 @@ def text_pieces(spec: Spec) -> dict[int, bytes]:
 
 def report(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the ids and of their decoding."""
-    # The second part is empty here; each worker keeps its encoder there from task to task.
-    shared = docs.sparkSession.sparkContext.broadcast((tuple(load(path)), {}))
+    # Each worker puts its encoder in place of the file's contents and keeps it from task to task.
+    shared = docs.sparkSession.sparkContext.broadcast({"spec": tuple(load(path))})
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        plain, kept = shared.value
-        if not kept:
-            spec = Spec(*plain)
+        kept = shared.value
+        if "all" not in kept:
+            spec = Spec(*kept["spec"])
             pieces = spelled_pieces(spec)
             kept["all"] = Encoder(spec), pieces, {i: str(i) for i in pieces}
+            del kept["spec"], spec
         encoder, pieces, names = kept["all"]
         for batch in batches:
             out = []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -170,6 +171,25 @@ def test_bpe_words_that_begin_alike_share_their_search():
     assert counts[0] < 2 * len(word) and counts[2] < counts[1]
 
 
+def test_bpe_memory_is_bounded_by_symbols(monkeypatch):
+    """Also of long words; turning over changes no ids, and words of the old generation are not searched again."""
+    spec = bpe_stream.load(tokenizer_path())
+    text = " ".join(["the", "thinger,", "'s", "x" * 400, "the,", "and", "é" * 90]) + " "
+    texts = [text + f"w{k}z word{k}, " + chr(97 + k) * 300 for k in range(20)]
+    want = [[i for part in bpe_stream.Encoder(spec).stream(t) for i in part] for t in texts]
+    monkeypatch.setattr(bpe_stream, "SYMBOLS", 2000)
+    encoder = bpe_stream.Encoder(spec)
+    searched = Counter()
+    word = encoder.word
+    encoder.word = lambda w: searched.update([w]) or word(w)
+    for t, ids in zip(texts, want, strict=True):
+        assert [i for part in encoder.stream(t) for i in part] == ids
+        for memory in (encoder.runs, encoder.parts):
+            for words in (memory.new, memory.old):
+                assert sum(map(len, words)) <= 2000 + len(t)
+    assert encoder.runs.old and searched["the"] == searched["x" * 400] == 1
+
+
 def test_bpe_round_trip_of_bytes():
     spec = bpe_stream.load(tokenizer_path())
     encoder, decoder = bpe_stream.Encoder(spec), bpe_stream.Decoder(bpe_stream.text_pieces(spec), b"")
