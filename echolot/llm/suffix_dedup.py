@@ -8,9 +8,12 @@ of neighbours compared.
 Sorting every suffix of the corpus moves more than ten bytes for each byte of text, so text that can't
 repeat is set aside first, exactly: among the ``GRAM``-byte strings in a string of ``LENGTH`` bytes the one with
 the smallest hash (rightmost of equal ones) is its anchor. Equal strings have equal anchors at equal
-places, so only places whose anchor occurs in two documents go into the suffix sort, each with the bytes of
-the strings that it anchors. Whether two documents hold an anchor is decided in groups by hash, whose number grows
-with the text; an anchor that is repeated within a batch of texts comes there once a batch. Pieces are dealt by anchor. Anchors with more than
+places. The bytes of the strings that one place anchors are its piece, known by a 64-bit hash beside the anchor's. Of
+equal pieces all but those of the smallest document are covered as a whole, and no bytes are moved for them. The
+others go into the suffix sort if their anchor still occurs in two documents. Both are decided first within a batch of
+texts, then in groups by the anchor's hash, whose number grows with the text; of an anchor with many different pieces
+in a batch only a summary comes there. Pieces are dealt by anchor. A string has at least ``HALF`` bytes before or behind
+its anchor, so only pieces that are equal that far on one side are sorted. Anchors with more than
 ``HOT`` occurrences are dealt over several blocks; what a block finds first is compared between blocks by
 digests of the strings, so no task gets all of them.
 
@@ -35,6 +38,7 @@ from echolot.llm.common import staged, text_or_empty
 LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
+HALF = (LENGTH - GRAM) // 2
 SEGMENT = 1 << 19
 FLUSH = 1_000_000
 PART_BITS = 8
@@ -101,6 +105,34 @@ def anchors(hasher: Hasher, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return h[place], place, first, last
 
 
+def anchored(hasher: Hasher, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, piece, first, last): each anchor, the hash of all bytes of its strings, and their starts."""
+    h, _, first, last = anchors(hasher, data)
+    return h, hasher.at(hasher.sums(data), first, last - first + LENGTH), first, last
+
+
+def held_before(h: np.ndarray, piece: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Whether a smaller document holds an equal piece of the same anchor."""
+    order = np.argsort(h, kind="stable")
+    start = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1])[: len(h)])
+    count = np.diff(np.append(start, len(h)))
+    k = order[np.repeat(count > 1, count)]
+    k = k[np.lexsort((doc[k], piece[k], h[k]))]
+    start = np.flatnonzero(np.append(True, (h[k][1:] != h[k][:-1]) | (piece[k][1:] != piece[k][:-1]))[: len(k)])
+    out = np.zeros(len(h), bool)
+    out[k] = doc[k] > np.repeat(doc[k][start], np.diff(np.append(start, len(k))))
+    return out
+
+
+def joined_runs(doc: np.ndarray, tag: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The runs with those joined that follow one another; equal ones come once."""
+    k = np.lexsort((low, tag, doc))
+    doc, tag, low, high = doc[k], tag[k], low[k], high[k]
+    new = (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (low[1:] > high[:-1] + 1)
+    start = np.flatnonzero(np.append(True, new))
+    return doc[start], tag[start], low[start], high[np.append(start[1:], len(k)) - 1]
+
+
 def _pack(x: np.ndarray) -> bytes:
     """Integers as compressed differences."""
     return zstandard.compress(np.diff(x.astype(np.int64), prepend=0).tobytes(), 1)
@@ -139,8 +171,9 @@ def group_bits(docs: DataFrame) -> int:
 def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
     """Anchors of batches of texts as packed columns, dealt by a hash's first bits, part.
 
-    An anchor that two documents of the batch hold, or one more than ``FEW`` times, goes to its part only
-    as smallest and largest document and count; its places travel apart, under a negative part.
+    Pieces that a smaller document of the batch holds too travel apart, under a negative part, as runs of covered
+    starts. Of an anchor with more than ``FEW`` other places in the batch only the smallest and largest document and the
+    count go to its part; these places travel apart too.
     """
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,8 +182,8 @@ def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
             for doc_id, tag, text in zip(batch["doc_id"], batch["tag"], batch["text"], strict=True):
                 data = _as_bytes(text)
                 for at, part in segments(data):
-                    h, place, _, _ = anchors(hasher, part)
-                    held.append((short_hash(h), np.full(len(h), doc_id), np.full(len(h), tag), place + at))
+                    h, piece, first, last = anchored(hasher, part)
+                    held.append((short_hash(h), piece, np.full(len(h), doc_id), np.full(len(h), tag), first + at, last + at))
                     n += len(h)
                 if n >= FLUSH:
                     yield packed(held)
@@ -166,45 +199,53 @@ def packed_anchors(docs: DataFrame, bits: int) -> DataFrame:
         return k[np.append(np.ones(min(1, len(k)), bool), new)]
 
     def packed(held: list) -> pd.DataFrame:
-        h, doc, tag, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        columns = [np.concatenate(x) for x in zip(*held, strict=True)]
         held.clear()
+        rows = []
+        gone = held_before(*columns[:3])
+        apart = -1 - int(_mix(columns[0].sum(dtype=np.uint64)) >> U(2))
+        if gone.any():
+            doc, tag, low, high = joined_runs(*(x[gone] for x in columns[2:]))
+            rows.append((apart, len(doc), None, None, *map(_pack, (doc, tag, low, high)), None, None, None, None))
+        h, piece, doc, tag, low, high = (x[~gone] for x in columns)
+        del columns
         order = np.argsort(h, kind="stable")
         start = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
         count = np.diff(np.append(start, len(h)))
-        low, high = np.minimum.reduceat(doc[order], start), np.maximum.reduceat(doc[order], start)
-        known = (low < high) | (count > FEW)
-        first, low, high, total = h[order][start][known], low[known], high[known], count[known]
+        known = count > FEW
+        first, total = h[order][start][known], count[known]
+        least, most = np.minimum.reduceat(doc[order], start)[known], np.maximum.reduceat(doc[order], start)[known]
         is_known = np.zeros(len(h), bool)
         is_known[order] = np.repeat(known, count)
         del order, start, count
-        rows = []
         if len(first):
             k = np.flatnonzero(is_known)
-            k = distinct(k[np.lexsort((place[k], tag[k], doc[k]))], doc, tag, place)
-            apart = -1 - int(_mix(h.sum(dtype=np.uint64)) >> U(2))
-            rows.append((apart, len(k), _low_bytes(h[k], 6), _pack(doc[k]), _pack(tag[k]), _pack(place[k]), None, None, None, None))
+            k = distinct(k[np.lexsort((low[k], tag[k], doc[k]))], doc, tag, low)
+            rows.append((apart, len(k), _low_bytes(h[k], 6), None, *(_pack(x[k]) for x in (doc, tag, low, high)), None, None, None, None))
         shift = U(HASH_BITS - bits)
         k = np.flatnonzero(~is_known)
-        k = distinct(k[np.lexsort((place[k], tag[k], doc[k], h[k] >> shift))], doc, tag, place)
+        k = distinct(k[np.lexsort((low[k], tag[k], doc[k], h[k] >> shift))], doc, tag, low)
         part, first_part = (h[k] >> shift).astype(np.int64), (first >> shift).astype(np.int64)
         for p in np.union1d(part, first_part):
-            a = slice(*np.searchsorted(part, [p, p + 1]))
+            own = k[slice(*np.searchsorted(part, [p, p + 1]))]
             b = slice(*np.searchsorted(first_part, [p, p + 1]))
-            own = k[a]
             rows.append(
-                (int(p), len(own), _low_bytes(h[own], 5), _pack(doc[own]), _pack(tag[own]), _pack(place[own]))
-                + tuple(_pack(x[b]) for x in (first, low, high, total))
+                (int(p), len(own), _low_bytes(h[own], 5), piece[own].tobytes(), _pack(doc[own]), _pack(tag[own]))
+                + (_pack(low[own]), _pack(high[own] - low[own]))
+                + tuple(_pack(x[b]) for x in (first, least, most, total))
             )
         return pd.DataFrame(rows, columns=names)
 
-    names = ["part", "n", "h", "doc", "tag", "place", "known", "low", "high", "count"]
+    names = ["part", "n", "h", "piece", "doc", "tag", "low", "high", "known", "least", "most", "count"]
     binary = ", ".join(f"{name} binary" for name in names[2:])
     return docs.mapInPandas(emit, f"part long, n int, {binary}")
 
 
 def repeated_places(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, place, h, copies): all places whose anchor two documents hold, with copies 0, and each
-    anchor of more than ``HOT`` places, with place -1. Some places may be of anchors that one document holds.
+    """(doc_id, tag, low, high, h, copies): the starts that a place anchors, from low to high.
+
+    With h -1 they are covered; with copies 0 they must be compared with others of the anchor. Some of these may be of
+    anchors that one document holds. Each anchor of more than ``HOT`` places to compare comes once with low -1.
     """
     bits = group_bits(docs)
 
@@ -212,39 +253,47 @@ def repeated_places(docs: DataFrame) -> DataFrame:
         if key[0] < 0:
             for batch in parts:
                 for row in batch.itertuples(index=False):
-                    h = _from_low_bytes(row.h, 6).view(np.int64)
-                    yield from shown(_unpack(row.doc), _unpack(row.tag), _unpack(row.place), h)
+                    doc, tag, low, high = map(_unpack, (row.doc, row.tag, row.low, row.high))
+                    h = np.full(len(doc), -1) if row.h is None else _from_low_bytes(row.h, 6).view(np.int64)
+                    yield from shown(doc, tag, low, high, h)
             return
         single, known = [], []
         for batch in parts:
             for row in batch.itertuples(index=False):
-                single.append((_from_low_bytes(row.h, 5), _unpack(row.doc), _unpack(row.tag), _unpack(row.place)))
-                known.append(tuple(map(_unpack, (row.known, row.low, row.high, row.count))))
-        h, doc, tag, place = (np.concatenate(x) for x in zip(*single, strict=True))
+                own = map(_unpack, (row.doc, row.tag, row.low, row.high))
+                single.append((_from_low_bytes(row.h, 5), np.frombuffer(row.piece, np.uint64), *own))
+                known.append(tuple(map(_unpack, (row.known, row.least, row.most, row.count))))
+        h, piece, doc, tag, low, high = (np.concatenate(x) for x in zip(*single, strict=True))
+        single.clear()
+        high += low
+        gone = held_before(h, piece, doc)
+        yield from shown(doc[gone], tag[gone], low[gone], high[gone], np.full(int(gone.sum()), -1))
+        h, doc, tag, low, high = (x[~gone] for x in (h, doc, tag, low, high))
+        del piece, gone
         top = U(key[0] >> (bits - PART_BITS) << (HASH_BITS - PART_BITS))
         h = (h | top).view(np.int64)
-        first, low, high, count = (np.concatenate(x) for x in zip(*known, strict=True))
-        every, low, high = np.append(h, first), np.append(doc, low), np.append(doc, high)
+        first, least, most, count = (np.concatenate(x) for x in zip(*known, strict=True))
+        every, least, most = np.append(h, first), np.append(doc, least), np.append(doc, most)
         if not len(every):
             return
         unique, group = np.unique(every, return_inverse=True)
         order = np.argsort(group, kind="stable")
         start = np.searchsorted(group[order], np.arange(len(unique)))
-        repeated = np.minimum.reduceat(low[order], start) < np.maximum.reduceat(high[order], start)
+        repeated = np.minimum.reduceat(least[order], start) < np.maximum.reduceat(most[order], start)
         total = np.add.reduceat(np.append(np.ones(len(h), np.int64), count)[order], start)
         k = np.flatnonzero(repeated[group[: len(h)]])
-        yield from shown(doc[k], tag[k], place[k], h[k])
+        yield from shown(doc[k], tag[k], low[k], high[k], h[k])
         hot = np.flatnonzero(total > HOT)
         none = np.zeros(len(hot), np.int64)
-        yield pd.DataFrame({"doc_id": none, "tag": none, "place": none - 1, "h": unique[hot], "copies": total[hot]})
+        yield pd.DataFrame({"doc_id": none, "tag": none, "low": none - 1, "high": none, "h": unique[hot], "copies": total[hot]})
 
-    def shown(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, h: np.ndarray) -> Iterator[pd.DataFrame]:
-        for at in range(0, len(doc), 100_000):
-            k = slice(at, at + 100_000)
-            yield pd.DataFrame({"doc_id": doc[k], "tag": tag[k], "place": place[k], "h": h[k], "copies": 0})
+    def shown(*columns: np.ndarray) -> Iterator[pd.DataFrame]:
+        for at in range(0, len(columns[0]), 100_000):
+            rows = dict(zip(("doc_id", "tag", "low", "high", "h"), (x[at : at + 100_000] for x in columns), strict=True))
+            yield pd.DataFrame(rows | {"copies": 0})
 
     blobs = packed_anchors(docs, bits)
-    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag long, place long, h long, copies long")
+    return blobs.groupBy("part").applyInPandas(meet, "doc_id long, tag long, low long, high long, h long, copies long")
 
 
 def suffix_order(data: np.ndarray, n: int) -> np.ndarray:
@@ -300,6 +349,35 @@ def equal_strings(data: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
     return group
 
 
+def alike(pieces: np.ndarray) -> np.ndarray:
+    """Whether a piece may share a string with another one: equal on one side of the anchor for ``HALF`` bytes."""
+    hasher, at_once = Hasher(), SEGMENT // (SPAN + LENGTH)
+    before, behind = np.zeros((2, len(pieces)), np.uint64)
+    has_before, has_behind = np.zeros((2, len(pieces)), bool)
+    for k in range(0, len(pieces), at_once):
+        own = slice(k, k + at_once)
+        size = np.array([len(p) for p in pieces[own]])
+        end = np.cumsum(size)
+        begin = end - size
+        data = np.frombuffer(b"".join(pieces[own]), np.uint8)
+        sums = hasher.sums(data)
+        # The anchor is the smallest of a piece's hashes, in the order of ``anchors``.
+        place = np.arange(len(data) - GRAM + 1, dtype=np.uint64)
+        mask = U((1 << 20) - 1)
+        key = (hasher.at(sums, place.astype(np.int64), GRAM) & ~mask) | (mask - place)
+        edges = np.column_stack([begin, end - GRAM + 1]).ravel()
+        least = np.minimum.reduceat(np.append(key, ~U(0)), edges)[::2]
+        place = (mask - (least & mask)).astype(np.int64)
+        has_before[own], has_behind[own] = place - HALF >= begin, place + GRAM + HALF <= end
+        for out, has, start in ((before, has_before, place - HALF), (behind, has_behind, place)):
+            out[own][has[own]] = hasher.at(sums, start[has[own]], GRAM + HALF)
+    out = np.zeros(len(pieces), bool)
+    for side, has in ((before, has_before), (behind, has_behind)):
+        _, same, count = np.unique(side[has], return_inverse=True, return_counts=True)
+        out[has] |= count[same] > 1
+    return out
+
+
 def packed_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, n, digest, data): texts compressed, so that moving them costs less."""
 
@@ -325,31 +403,27 @@ def _pair(high: str, low: Column | str) -> Column:
 
 def pieces(texts: DataFrame, places: DataFrame) -> DataFrame:
     """(block, hot, doc_id, tag, start, piece): the bytes of the strings of each repeated anchor."""
-    hot = places.where("place < 0").select("h", F.ceil(F.col("copies") / HOT).alias("lanes"))
-    places = places.where("place >= 0").join(hot, "h", "left")
-    lanes_of = F.coalesce("lanes", F.lit(1))
-    listed = places.groupBy("doc_id", "tag").agg(F.collect_list(_pair("place", lanes_of)).alias("places"))
+    hot = places.where("low < 0").select("h", F.ceil(F.col("copies") / HOT).alias("lanes"))
+    places = places.where("low >= 0").join(hot, "h", "left")
+    place = F.struct("low", "high", "h", F.coalesce("lanes", F.lit(1)).alias("lanes"))
+    listed = places.groupBy("doc_id", "tag").agg(F.collect_list(place).alias("places"))
+    listed = listed.select("doc_id", "tag", *[F.col("places")[name].alias(name) for name in ("low", "high", "h", "lanes")])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, before = Hasher(), None
+        before = None
         for batch in batches:
             rows = []
             for row in batch.itertuples(index=False):
                 if (row.doc_id, row.tag) == before:  # an equal row has the same pieces
                     continue
                 before = row.doc_id, row.tag
-                data = np.frombuffer(zstandard.decompress(row.data), np.uint8)
-                pairs = np.unique(np.asarray(row.places))
-                known, lanes_at = pairs >> 32, pairs & (2**32 - 1)
-                for at, part in segments(data):
-                    h, place, first, last = anchors(hasher, part)
-                    found = np.minimum(np.searchsorted(known, place + at), len(known) - 1)
-                    for i in np.flatnonzero(known[found] == place + at):
-                        lanes = int(lanes_at[found[i]])
-                        lane = (row.doc_id * 2654435761 + row.tag) % (2**31) % lanes
-                        block = (int(h[i]) + lane * BASE) % 2**64 >> 24
-                        piece = part[first[i] : last[i] + LENGTH].tobytes()
-                        rows.append((block, lanes > 1, row.doc_id, row.tag, int(first[i]) + at, piece))
+                data = zstandard.decompress(row.data)
+                _, once = np.unique(row.low, return_index=True)
+                lanes = row.lanes[once].astype(np.uint64)
+                lane = U((row.doc_id * 2654435761 + row.tag) % 2**31) % lanes
+                block = (_mix(row.h[once].astype(np.uint64) + lane * U(BASE)) >> U(24)).astype(np.int64)
+                spans = zip(block.tolist(), (lanes > 1).tolist(), row.low[once].tolist(), row.high[once].tolist(), strict=True)
+                rows += [(b, hot, row.doc_id, row.tag, low, data[low : high + LENGTH]) for b, hot, low, high in spans]
                 if len(rows) > 20_000:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []
@@ -378,6 +452,7 @@ def covered(found: DataFrame, blocks: int) -> DataFrame:
         anchor[codes] = block["block"].to_numpy()
         _, kind, pieces_of = np.unique(anchor, return_inverse=True, return_counts=True)
         several = np.flatnonzero(pieces_of[kind] > 1)
+        several = several[alike(unique[several])]
         if len(several):
             begin = np.cumsum(size[several]) - size[several]
             text = np.frombuffer(b"".join(unique[several]) + bytes(4 * LENGTH), np.uint8)
@@ -402,7 +477,8 @@ def covered(found: DataFrame, blocks: int) -> DataFrame:
                 byte = values[data[:, k]]
                 mod[at], other[at] = _mix(mod[at] + byte), other[at] * U(BASE) + byte
         rows, open_rows = [], []
-        for i in np.flatnonzero(~whole):
+        shows = np.logical_or.reduceat(inside, begins)[codes] | hot
+        for i in np.flatnonzero(~whole & shows):
             piece = codes[i]
             own = slice(begins[piece], begins[piece] + count[piece])
             flags = np.concatenate([[0], inside[own].view(np.int8), [0]])
@@ -436,8 +512,10 @@ def dedupe(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"), text_or_empty().alias("text"))
     keyed = keyed.withColumn("tag", F.xxhash64("text"))
     places = staged(repeated_places(keyed), "places")
-    blocks = max(1, places.count() // BLOCK_PIECES)
-    runs = covered(pieces(packed_texts(keyed), places), blocks)
+    compared = places.where("h >= 0")
+    blocks = max(1, compared.count() // BLOCK_PIECES)
+    runs = covered(pieces(packed_texts(keyed), compared), blocks)
+    runs = runs.unionByName(places.where("h < 0").select("doc_id", "tag", "low", "high"))
     listed = runs.groupBy("doc_id", "tag").agg(F.collect_list(_pair("low", "high")).alias("runs"))
 
     def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -482,6 +482,40 @@ def test_suffix_dedup_of_many_null_and_equal_ids(spark):
     assert sorted((tuple(r) for r in suffix_dedup.report(df).collect()), key=str) == removal(rows)
 
 
+def test_suffix_dedup_moves_no_bytes_of_equal_pieces(spark):
+    """Copies that different batches hold are told by hashes; only what differs comes to the suffix sort."""
+    chance = random.Random(12)
+    passage = "".join(chance.choices("abcdefgh ", k=3000))
+    rows = [(k, "".join(chance.choices("ijklmnop ", k=80)) + passage) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    places = suffix_dedup.repeated_places(df.withColumn("tag", F.xxhash64("text"))).collect()
+    compared = [p for p in places if p.h >= 0]
+    assert sum(p.high - p.low + 1 for p in places if p.h < 0) > 59 * 2900 and len(compared) < 60 * 10
+    assert sorted((tuple(r) for r in suffix_dedup.report(df).collect()), key=str) == removal(rows)
+
+
+def test_suffix_pieces_that_share_a_string_are_alike():
+    chance = random.Random(13)
+    draw = lambda n: bytes(chance.choices(b"abcd", k=n))
+    hasher, by_anchor = suffix_dedup.Hasher(), {}
+    for _ in range(300):
+        shared = draw(50)
+        for _ in range(2):
+            data = np.frombuffer(draw(60) + shared + draw(60), np.uint8)
+            for h, _, first, last in zip(*suffix_dedup.anchored(hasher, data), strict=True):
+                by_anchor.setdefault(int(h), set()).add(data[first : last + 50].tobytes())
+    n = 0
+    for found in filter(lambda x: len(x) > 1, by_anchor.values()):
+        pieces = np.array(sorted(found), dtype=object)
+        holders = Counter(p[i : i + 50] for p in pieces for i in range(len(p) - 49))
+        for p, may in zip(pieces, suffix_dedup.alike(pieces), strict=True):
+            shares = any(holders[p[i : i + 50]] > 1 for i in range(len(p) - 49))
+            n += shares
+            assert may or not shares
+    assert n >= 400
+    assert not suffix_dedup.alike(np.array([draw(30) + b"x" * 18 + draw(30) for _ in range(9)], dtype=object)).any()
+
+
 @pytest.mark.parametrize("null_ids", [False, True])
 def test_suffix_anchors_of_a_hot_passage_do_not_meet(spark, monkeypatch, null_ids):
     """A passage of a third of all rows sends a summary for each batch; groups grow in number with the text."""
