@@ -37,9 +37,9 @@ from echolot.llm.common import text_or_empty
 
 #: Answers that are remembered: pairs of tokens, beginnings of words, and words by their symbols, ``ENTRY`` more each.
 PAIRS = 200_000
-HEADS = 100_000
+HEADS = 150_000
 ENTRY = 16
-SYMBOLS = 200_000 * (ENTRY + 8)
+SYMBOLS = 250_000 * (ENTRY + 8)
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WINDOW = 1 << 16
 STEP = 64
@@ -265,7 +265,7 @@ class Encoder:
         self.words = regex.compile(spec.pattern.replace(r"\s", SPACE))
         self.spaces = re.compile(f"[{SPACE}]")
         # What stands between white space, and words of those that hold several.
-        self.runs, self.parts = Memory(SYMBOLS), Memory(SYMBOLS // 4)
+        self.runs, self.parts = Memory(SYMBOLS), Memory(SYMBOLS // 2)
 
     def word(self, word: str) -> list[int]:
         run, data = Transducer(self.merges), word.encode("utf-8", "surrogatepass")
