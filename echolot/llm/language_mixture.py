@@ -22,6 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from echolot.llm.common import BATCH_CONF
+from echolot.session import settings
+
 BITS = 16
 SMOOTH = 0.5
 ROUNDS = 12
@@ -78,7 +81,8 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
     schema = "lang string, block int, counts binary"
     known = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    counted = known.mapInPandas(count, schema).groupBy("lang", "block").applyInPandas(add, schema).collect()
+    with settings(rows.sparkSession, BATCH_CONF):
+        counted = known.mapInPandas(count, schema).groupBy("lang", "block").applyInPandas(add, schema).collect()
     languages = sorted({row["lang"] for row in counted})
     table = np.zeros((2**BITS, len(languages) + 1))
     for row in counted:
@@ -174,4 +178,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     results = {"lang_pred", "score", "languages", "background", MIXTURE}
     kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in results]
-    return docs.select(*kept, run(text).alias(MIXTURE)).select(*kept, f"{MIXTURE}.*")
+    # Else Spark moves a filter on the results below and calls the function once more for it: all texts
+    # twice, and a task takes two Python workers, which executors keep for the stages that follow.
+    once = run.asNondeterministic()
+    return docs.select(*kept, once(text).alias(MIXTURE)).select(*kept, f"{MIXTURE}.*")

@@ -38,8 +38,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from echolot.llm.common import discard, staged
+from echolot.llm.common import BATCH_CONF, discard, staged
 from echolot.llm.components import components
+from echolot.session import settings
 
 SHINGLE = 3
 PERCENT = 90
@@ -126,7 +127,9 @@ def sketch(docs: DataFrame, width: int) -> np.ndarray:
     schema = "block int, counts binary"
     rows = docs.select("text").mapInPandas(count, schema).groupBy("block").applyInPandas(add, schema)
     total = np.zeros(2**SKETCH_BITS, np.uint32)
-    for row in rows.collect():  # 2 ** SKETCH_BITS / SKETCH_BLOCK rows of fixed size
+    with settings(docs.sparkSession, BATCH_CONF):
+        blocks_of_all = rows.collect()  # 2 ** SKETCH_BITS / SKETCH_BLOCK rows of fixed size
+    for row in blocks_of_all:
         at = row["block"] * SKETCH_BLOCK
         total[at : at + SKETCH_BLOCK] = np.frombuffer(row["counts"], np.uint32)
     return total

@@ -77,6 +77,24 @@ def test_language_without_letters_is_undetermined(spark, edges):
     assert {(r.lang_pred, r.score) for r in language_mixture.identify(df, model).collect()} == {("und", 0.0)}
 
 
+def test_filtered_languages_are_found_once(spark, edges):
+    """A filter on the results must not have every text go through Python a second time, by a second worker."""
+    import corpus_pipeline as pipeline
+
+    docs = edges.select("doc_id", "text", "lang", "source", F.length("text").alias("n_chars"))
+    plan = pipeline.identify_language(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_counted_texts_reach_python_in_small_batches(spark, edges, monkeypatch):
+    batch, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], type(edges).collect
+    before = spark.conf.get(batch)
+    monkeypatch.setattr(type(edges), "collect", lambda df: seen.append(int(spark.conf.get(batch))) or plain(df))
+    language_mixture.fit(edges)
+    ngram_join.sketch(edges, 5)
+    assert len(seen) == 2 and max(seen) <= 2000 and spark.conf.get(batch) == before
+
+
 def test_two_languages_are_found():
     words = {"aa": "lorem ipsum dolor amet", "bb": "quick brown foxes jump"}
     table = np.full((2**language_mixture.BITS, 3), 1e-6)
