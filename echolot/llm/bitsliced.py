@@ -8,8 +8,9 @@ slices of the score. The lowest ``bits - KEEP`` bits of a component are left out
 score is known up to a bound. Going from the most significant slice downward gives the k-th largest
 of the coarse scores; rows within the bound of it are resolved by exact inner products.
 
-Blocks of rows are dealt to lanes and every lane gets all blocks of queries; each pair of blocks returns k rows per
-query. Scores are exact: where a sum may exceed 64 bits, the boundary rows are resolved with integers of any size,
+Rows are dealt into groups of a block at most, and all queries of their dimension go to each group. A task holds the
+index of one group at a time, built once, and its queries come past it in small batches; each query gets k rows of a
+group. Scores are exact: where a sum may exceed 64 bits, the boundary rows are resolved with integers of any size,
 and a score among the k best of a block that no 64-bit number holds fails the search. So does a component whose
 scaled value none holds. An empty table gives no rows. Vectors that are null or hold null or non-finite components and rows
 without id take no part. Vectors of different length are not compared. A row is never its own
@@ -21,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,10 @@ from echolot.llm.common import staged
 SCALE = 256
 KEEP = 7
 BLOCK_ROWS = 65536
-QUERY_ROWS = 128
+#: Components that a block holds at most; longer vectors come in blocks of fewer rows.
+BLOCK_VALUES = 64 * BLOCK_ROWS
+#: Rows whose exact scores are taken at once.
+EXACT_ROWS = 4096
 
 
 class Block:
@@ -38,19 +42,21 @@ class Block:
 
     def __init__(self, values: np.ndarray) -> None:
         self.values = values
-        n, _ = values.shape
+        n, dim = values.shape
+        least, most = (values.min(axis=0), values.max(axis=0)) if values.size else (np.empty(0, np.int64),) * 2
+        self.largest = max(abs(int(least.min())), abs(int(most.max()))) if values.size else 0
         # Unsigned, the difference is right also where it exceeds the signed range.
-        above = values.astype(np.uint64) - values.min(axis=0).astype(np.uint64)
-        self.largest = max(abs(int(values.min())), abs(int(values.max()))) if values.size else 0
-        bits = int(above.max()).bit_length() if values.size else 0
+        least = least.astype(np.uint64)
+        bits = int((most.astype(np.uint64) - least).max()).bit_length() if values.size else 0
         self.drop = max(0, bits - KEEP)
-        pad = np.zeros((-n % 64, values.shape[1]), np.uint64)
-        above = np.concatenate([above, pad]) >> np.uint64(self.drop)
+        above = np.zeros(n + -n % 64, np.uint64)
         self.rows = self._bitmap(np.arange(len(above)) < n)
-        self.slices = [
-            [self._bitmap((column >> np.uint64(i)) & np.uint64(1)) for i in range(bits - self.drop)]
-            for column in np.ascontiguousarray(above.T)
-        ]
+        self.slices = []
+        for j in range(dim):  # one column at a time, so that no copy of the matrix is made
+            above[:n] = (values[:, j].astype(np.uint64) - least[j]) >> np.uint64(self.drop)
+            self.slices.append(
+                [self._bitmap((above >> np.uint64(i)) & np.uint64(1)) for i in range(bits - self.drop)]
+            )
 
     @staticmethod
     def _bitmap(flags: np.ndarray) -> np.ndarray:
@@ -113,7 +119,9 @@ class Block:
         """Inner products; Python integers where a sum may not fit in 64 bits."""
         if sum(map(abs, query.tolist())) * self.largest < 1 << 63:
             return self.values[rows] @ query
-        return self.values[rows].astype(object) @ query.astype(object)
+        wide = query.astype(object)
+        parts = [rows[at : at + EXACT_ROWS] for at in range(0, len(rows), EXACT_ROWS)]
+        return np.concatenate([np.empty(0, object)] + [self.values[x].astype(object) @ wide for x in parts])
 
     def _at_least(self, slices: list[np.ndarray], least: int) -> np.ndarray:
         above, equal = np.zeros_like(self.rows), ~np.zeros_like(self.rows)
@@ -155,65 +163,68 @@ def quantised(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return staged(rows, "quantised")
 
 
-def blocks(rows: DataFrame, size: int) -> DataFrame:
-    """The rows of each partition, packed by ``size`` and by dimension into binary columns."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        waiting: dict[int, list] = {}
-        held: dict[int, int] = {}
-
-        def emit(dim: int) -> pd.DataFrame:
-            df = pd.concat(waiting.pop(dim))
-            held.pop(dim)
-            values = np.concatenate([np.asarray(v, np.int64) for v in df["v"]]) if dim else np.empty(0, np.int64)
-            parts = {"row_nos": df["row_no"], "ids": df["id"], "values": values}
-            return pd.DataFrame(
-                {"dim": [dim]} | {k: [np.asarray(x, np.int64).tobytes()] for k, x in parts.items()}
-            )
-
-        for batch in batches:
-            for dim, part in batch.groupby("dim"):
-                for at in range(0, len(part), size):
-                    piece = part.iloc[at : at + size]
-                    if held.get(dim, 0) + len(piece) > size:
-                        yield emit(dim)
-                    waiting.setdefault(dim, []).append(piece)
-                    held[dim] = held.get(dim, 0) + len(piece)
-        for dim in list(waiting):
-            yield emit(dim)
-
-    return rows.mapInPandas(pack, "dim int, row_nos binary, ids binary, values binary")
+def grouped(candidates: DataFrame, queries: DataFrame) -> DataFrame:
+    """(dim, group, asked, row_no, id, v): the candidates in groups of a block at most, the queries in each group of
+    their dimension. A task gets its groups one after the other and the candidates of a group before its queries.
+    """
+    lanes = max(1, candidates.sparkSession.sparkContext.defaultParallelism)
+    held = F.count("*") * F.greatest("dim", F.lit(BLOCK_VALUES // BLOCK_ROWS))
+    sizes = candidates.groupBy("dim").agg(held.alias("held"))
+    total = sizes.agg(F.sum("held")).first()[0] or 1
+    tasks = lanes * -(-total // (lanes * BLOCK_VALUES))  # the last ones to start have as much to do as the others
+    groups = F.broadcast(sizes.select("dim", F.expr(f"(held * {tasks} + {total - 1}) div {total}").alias("groups")))
+    kept = ("row_no", F.col("id").cast("long").alias("id"), "v")
+    of_row = F.pmod(F.xxhash64("row_no"), "groups").alias("group")
+    of_query = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("group")
+    both = (
+        candidates.join(groups, "dim")
+        .select("dim", of_row, F.lit(False).alias("asked"), *kept)
+        .union(queries.join(groups, "dim").select("dim", of_query, F.lit(True).alias("asked"), *kept))
+    )
+    # Groups of a dimension go to tasks in turn.
+    task = F.pmod(F.pmod(F.xxhash64("dim"), F.lit(tasks)) + F.col("group"), F.lit(tasks)).cast("int")
+    return both.repartitionById(tasks, task).sortWithinPartitions("dim", "group", "asked")
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, id, score) over tables made by ``quantised``; ties go to the smaller id."""
-    lanes = 4 * max(1, candidates.sparkSession.sparkContext.defaultParallelism)
-    rows = staged(blocks(candidates, BLOCK_ROWS), "index-blocks").select(
-        "dim", F.struct("row_nos", "ids", "values").alias("c"), F.pmod(F.xxhash64("row_nos"), F.lit(lanes)).alias("lane")
-    )
-    asked = staged(blocks(queries, QUERY_ROWS), "query-blocks").select(
-        "dim",
-        F.struct("row_nos", "ids", "values").alias("q"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"),
-    )
-    met = rows.join(asked, ["dim", "lane"]).select("c", "q", "dim")
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        """Rows of one group, all candidates or all queries: (dim, group), asked, row_nos, ids, vectors."""
         for batch in batches:
-            for c, q, dim in zip(batch["c"], batch["q"], batch["dim"], strict=True):
-                row_nos, ids = (np.frombuffer(c[x], np.int64) for x in ("row_nos", "ids"))
-                q_rows, q_ids = (np.frombuffer(q[x], np.int64) for x in ("row_nos", "ids"))
-                block = Block(np.frombuffer(c["values"], np.int64).reshape(len(ids), dim))
+            dims, groups, asked, rows, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            new = (np.diff(dims) != 0) | (np.diff(groups) != 0) | (np.diff(asked.astype(np.int8)) != 0)
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(dims)]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a < b:
+                    vectors = batch.column(5).slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+                    yield (dims[a], groups[a]), asked[a], rows[a:b], ids[a:b], vectors.reshape(b - a, dims[a])
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, block = None, [], None
+        for group, asked, rows, ids, vectors in runs(batches):
+            if group != at:
+                at, parts, block = group, [], None
+            if not asked:
+                parts.append((rows, ids, vectors))
+                continue
+            if parts:
+                row_nos, own_ids, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+                parts, block = [], Block(values)
                 place = {row: i for i, row in enumerate(row_nos.tolist())}
-                asked = np.frombuffer(q["values"], np.int64).reshape(len(q_ids), dim)
-                out = []
-                for row, query_id, query in zip(q_rows.tolist(), q_ids.tolist(), asked, strict=True):
-                    found, scores = block.top(query, k, place.get(row))
-                    best = best_rows(ids[found], scores, k)
-                    out += [(row, query_id, i, s) for i, s in zip(ids[found[best]], scores[best], strict=True)]
-                yield pd.DataFrame(out, columns=["row_no", "query_id", "id", "score"])
-
-    near = met.mapInPandas(search, "row_no long, query_id long, id long, score long")
+            if block is None:  # no candidate fell in this group
+                continue
+            out = []
+            for row, query_id, query in zip(rows.tolist(), ids.tolist(), vectors, strict=True):
+                found, scores = block.top(query, k, place.get(row))
+                best = best_rows(own_ids[found], scores, k)
+                near = own_ids[found[best]], scores[best].astype(np.int64)
+                out.append((np.full(len(best), row), np.full(len(best), query_id), *near))
+            columns = [np.concatenate(x).astype(np.int64) for x in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["row_no", "query_id", "id", "score"])
+
+    result = "row_no long, query_id long, id long, score long"
+    near = staged(grouped(candidates, queries).mapInArrow(search, result), "nearest")
     order = Window.partitionBy("row_no").orderBy(F.desc("score"), "id")
     return (
         near.withColumn("rank", F.row_number().over(order))

@@ -640,6 +640,36 @@ def test_top_k_of_large_components(spark, size):
     assert sorted(tuple(r) for r in bitsliced.top_k(rows, rows, 3).collect()) == want
 
 
+def test_top_k_indexes_each_row_once_in_bounded_blocks(spark, monkeypatch, tmp_path):
+    """However many queries come past and however long the vectors are."""
+    seen, plain = str(tmp_path / "blocks"), bitsliced.Block
+
+    class Noted(plain):
+        def __init__(self, values):
+            with open(seen, "a") as f:
+                f.write(f"{len(values)} {values.shape[1]}\n")
+            plain.__init__(self, values)
+
+    rng = np.random.default_rng(9)
+    vectors = [(i, rng.normal(size=3 if i % 4 else 48).round(1).tolist()) for i in range(800)] + [(5, [1.0] * 48)] * 2
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").coalesce(1)
+    rows = bitsliced.quantised(df, "vec_id", "embedding")
+    monkeypatch.setattr(bitsliced, "BLOCK_ROWS", 160)
+    monkeypatch.setattr(bitsliced, "BLOCK_VALUES", 160 * 16, raising=False)
+    monkeypatch.setattr(bitsliced, "Block", Noted)
+    got = sorted(tuple(r) for r in bitsliced.top_k(rows, rows, 3).collect())
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in vectors]
+    want = []
+    for n, (q, query) in enumerate(whole):
+        near = sorted((-int(v @ query), i) for m, (i, v) in enumerate(whole) if m != n and len(v) == len(query))
+        want += [(q, rank + 1, i, -score) for rank, (score, i) in enumerate(near[:3])]
+    assert got == sorted(want)
+    blocks = [tuple(map(int, line.split())) for line in open(seen)]
+    for dim, size in ((3, 600), (48, 202)):
+        assert sum(n for n, d in blocks if d == dim) == size
+        assert max(n * max(d, 16) for n, d in blocks if d == dim) <= 2 * 160 * 16  # groups are drawn, so not all equal
+
+
 def test_top_k_cancelling_sums_and_huge_components(spark):
     vectors = {1: [1e8, 1e8, 1.0], 2: [1e8, -1e8, 2.0], 3: [-1e8, 1e8, 3.0]}
     ids = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
